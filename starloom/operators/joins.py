@@ -25,6 +25,16 @@ def anti(df: DataFrame, column: str, other: DataFrame, other_column: str) -> Dat
     return df.join(keys, F.col(column) == F.col("_key"), "left_anti")
 
 
+def left_outer(one: DataFrame, many: DataFrame, one_key: str, many_key: str) -> DataFrame:
+    """Left outer equi-join that keeps a hot key of the `many` side splittable.
+
+    The optional side of an outer join cannot be split at run time, so it is written as the inner
+    join plus the rows without a partner.
+    """
+    matched = one.join(many, F.col(one_key) == F.col(many_key))
+    return matched.unionByName(anti(one, one_key, many, many_key), allowMissingColumns=True)
+
+
 def full_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Full outer equi-join whose hot right-side keys can still be split at run time.
 

@@ -312,12 +312,9 @@ def products_above_average_price(products: DataFrame) -> DataFrame:
 
 # --- tuning queries ---------------------------------------------------------------------------------
 
-def category_revenue(fact: DataFrame, products: DataFrame, first_key: int, last_key: int) -> DataFrame:
-    """Net revenue by category for a closed range of order date keys; sums per product before the join."""
-    per_product = (
-        fact.filter(F.col("order_date_key").between(first_key, last_key))
-        .groupBy("product_key").agg(F.sum("net_amount").alias("net"))
-    )
+def category_revenue(fact: DataFrame, products: DataFrame, period: Column) -> DataFrame:
+    """Net revenue by category for a period; lines are summed per product before the join."""
+    per_product = fact.filter(period).groupBy("product_key").agg(F.sum("net_amount").alias("net"))
     return (
         per_product.join(products.select("product_key", F.col("category_name").alias("category")), "product_key")
         .groupBy("category").agg(F.sum("net").cast(AMOUNT).alias("net_revenue"))

@@ -1,4 +1,12 @@
 """Every registered query, keyed by name."""
 
-from starloom.queries import warehouse_marts  # noqa: F401
+from starloom.queries import (  # noqa: F401
+    aggregates,
+    joins,
+    ordering,
+    projections,
+    scalars,
+    sets,
+    warehouse_marts,
+)
 from starloom.queries.base import REGISTRY  # noqa: F401
