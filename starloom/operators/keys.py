@@ -13,11 +13,16 @@ from starloom.session import materialise
 
 
 def _offsets(tagged: DataFrame) -> DataFrame:
-    """One row per written partition: rows in the partitions before it. Bounded by partition count."""
-    per_part = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"), F.min("_pos").alias("_first"))
+    """One row per written partition: numbers taken by the partitions before it.
+
+    Bounded by the partition count. A partition takes as many numbers as its positions span, so a
+    filtered frame still gets distinct, increasing numbers.
+    """
+    per_part = tagged.groupBy("_part").agg(
+        F.min("_pos").alias("_first"), (F.max("_pos") - F.min("_pos") + 1).alias("_span"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     return per_part.select(
-        "_part", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
+        "_part", "_first", F.coalesce(F.sum("_span").over(before), F.lit(0)).alias("_before")
     )
 
 
@@ -61,6 +66,17 @@ def assign_keys(
     return dense_index(new_rows, order, key, max_key + step if max_key else 1, step, path)
 
 
+def fill_keys(tagged: DataFrame, key: str, is_new: Column, max_key: int) -> DataFrame:
+    """Number the new rows of a written, tagged frame after `max_key`; other rows keep their key."""
+    offsets = _offsets(tagged.filter(is_new))
+    fresh = F.lit(max_key + 1) + F.col("_before") + F.col("_pos") - F.col("_first")
+    return (
+        tagged.join(F.broadcast(offsets), "_part", "left")
+        .withColumn(key, F.when(is_new, fresh).otherwise(F.col(key)).cast("bigint"))
+        .drop("_part", "_pos", "_first", "_before")
+    )
+
+
 def highest_key(df: DataFrame, key: str) -> int:
     """Largest key in use, 0 for an empty table; the unknown member does not count."""
     top = df.agg(F.max(key)).first()[0]

@@ -55,17 +55,26 @@ def upsert(
     update: Sequence[str] | None = None,
     stamp: Mapping[str, Column] | None = None,
     stamp_insert: Mapping[str, Column] | None = None,
+    pinned: Mapping[str, Column] | None = None,
+    remember: Sequence[str] = (),
 ) -> DataFrame:
     """Target after the upsert, with the `_action` taken per row.
 
     A row is updated only when a compared column differs NULL-safely; then all `update` columns
     (default: every shared non-key column) take the source value. Rows absent from the source stay.
+    `pinned` replaces the source value of a column by an expression over `t` and `s`; `remember`
+    adds the value a column had before as `_old_<column>`.
     """
     update = list(update) if update is not None else [
         c for c in target.columns if c in source.columns and c not in keys
     ]
     stamp, stamp_insert = dict(stamp or {}), dict(stamp_insert or {})
-    changed = differs([F.col(f"t.{c}") for c in compare], [F.col(f"s.{c}") for c in compare])
+    pinned = dict(pinned or {})
+
+    def incoming(c: str) -> Column:
+        return pinned.get(c, F.col(f"s.{c}"))
+
+    changed = differs([F.col(f"t.{c}") for c in compare], [incoming(c) for c in compare])
     joined = classify(target, source, keys, changed)
     fresh, touched = F.col("_action") == INSERT, F.col("_action") == UPDATE
     source_columns = set(source.columns)
@@ -77,10 +86,11 @@ def upsert(
             value = F.coalesce(old, F.col(f"s.{c}"))
         else:
             on_insert = stamp_insert.get(c, stamp.get(c, F.col(f"s.{c}") if c in source_columns else F.lit(None)))
-            on_update = stamp.get(c, F.col(f"s.{c}") if c in update else old)
+            on_update = stamp.get(c, incoming(c) if c in update else old)
             value = F.when(fresh, on_insert).when(touched, on_update).otherwise(old)
         columns.append(value.cast(field.dataType).alias(c))
-    return joined.select(*columns, "_action")
+    before = [F.col(f"t.{c}").alias(f"_old_{c}") for c in remember]
+    return joined.select(*columns, *before, "_action")
 
 
 def action_counts(classified: DataFrame) -> LoadStats:

@@ -15,16 +15,15 @@ def top_n(df: DataFrame, n: int, *order: Column) -> DataFrame:
 
 
 def top_n_with_ties(df: DataFrame, n: int, column: str) -> DataFrame:
-    """The n largest values of `column` and every row equal to the last of them.
+    """The n largest values of `column` and every row equal to the last of them; NULLs rank last.
 
     The cut-off comes from a top-n over the one column; the rows are then a filtered scan, so any
     number of ties is returned without ranking the whole table.
     """
-    cutoff = (
-        df.select(column).filter(F.col(column).isNotNull())
-        .orderBy(F.col(column).desc()).limit(n).agg(F.min(column)).scalar()
-    )
-    return df.filter(F.col(column) >= cutoff)
+    best = df.select(column).orderBy(F.col(column).desc_nulls_last()).limit(n)
+    cutoff = best.agg(F.min(column)).scalar()
+    reaches_nulls = best.agg(F.count_if(F.col(column).isNull()) > 0).scalar()
+    return df.filter((F.col(column) >= cutoff) | reaches_nulls)
 
 
 def top_percent(df: DataFrame, percent: float, order: Sequence[Column | str]) -> DataFrame:
