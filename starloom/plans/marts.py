@@ -290,6 +290,13 @@ def contact_directory(
     return typed[0].unionByName(typed[1]).unionByName(typed[2])
 
 
+def new_contact_directory(
+    customers: DataFrame, suppliers: DataFrame, employees: DataFrame, own_company: str
+) -> DataFrame:
+    """The directory without the type column."""
+    return contact_directory(customers, suppliers, employees, own_company, with_type=False)
+
+
 def managers(employees: DataFrame) -> DataFrame:
     wanted = ["employee_id", "last_name", "first_name", "title", "title_of_courtesy", "home_phone",
               "extension", "reports_to"]

@@ -2,11 +2,13 @@
 
 from starloom.queries import (  # noqa: F401
     aggregates,
+    checks,
     joins,
     ordering,
     projections,
     scalars,
     sets,
+    warehouse,
     warehouse_marts,
 )
 from starloom.queries.base import REGISTRY  # noqa: F401
