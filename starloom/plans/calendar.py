@@ -7,54 +7,43 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.functions import date_key
 from starloom.operators.keys import with_unknown
 
 # Default range and the labels of the unknown day.
 DEFAULT_FIRST = date(1994, 1, 1)
 DEFAULT_LAST = date(2002, 12, 31)
 UNKNOWN_DAY = {"day_name": "Unknown", "month_name": "Unknown", "quarter_name": "NA"}
-FISCAL_START_MONTH = 4
+
+
+# The calendar columns in order. The fiscal year starts in April and is named for the
+# year it ends in.
+CALENDAR_COLUMNS = {
+    "date_key": "year(full_date) * 10000 + month(full_date) * 100 + day(full_date)",
+    "full_date": "full_date",
+    "day_of_month": "cast(day(full_date) as smallint)",
+    "day_of_week": "cast(extract(dayofweek_iso from full_date) as smallint)",
+    "day_name": "date_format(full_date, 'EEEE')",
+    "day_of_year": "cast(dayofyear(full_date) as smallint)",
+    "week_of_year": "cast(weekofyear(full_date) as smallint)",
+    "iso_year": "cast(extract(yearofweek from full_date) as smallint)",
+    "month_number": "cast(month(full_date) as smallint)",
+    "month_name": "date_format(full_date, 'MMMM')",
+    "month_abbrev": "date_format(full_date, 'MMM')",
+    "month_end_date": "last_day(full_date)",
+    "year_month": "year(full_date) * 100 + month(full_date)",
+    "quarter_number": "cast(quarter(full_date) as smallint)",
+    "quarter_name": "concat('Q', quarter(full_date))",
+    "year_number": "cast(year(full_date) as smallint)",
+    "fiscal_year": "cast(if(month(full_date) >= 4, year(full_date) + 1, year(full_date)) as smallint)",
+    "fiscal_quarter": "cast(if(month(full_date) >= 4, quarter(full_date) - 1, 4) as smallint)",
+    "is_weekend": "extract(dayofweek_iso from full_date) >= 6",
+    "is_last_day_of_month": "full_date = last_day(full_date)",
+}
 
 
 def describe_days(days: DataFrame) -> DataFrame:
     """The calendar attributes of a frame with a `full_date` column."""
-    d = F.col("full_date")
-    month, year, quarter = F.month(d), F.year(d), F.quarter(d)
-    iso_day = F.extract(F.lit("DAYOFWEEK_ISO"), d)
-    in_new_fiscal_year = month >= FISCAL_START_MONTH
-    small = {
-        "day_of_month": F.day(d),
-        "day_of_week": iso_day,
-        "day_of_year": F.dayofyear(d),
-        "week_of_year": F.weekofyear(d),
-        "iso_year": F.extract(F.lit("YEAROFWEEK"), d),
-        "month_number": month,
-        "quarter_number": quarter,
-        "year_number": year,
-        "fiscal_year": F.when(in_new_fiscal_year, year + 1).otherwise(year),
-        "fiscal_quarter": F.when(in_new_fiscal_year, quarter - 1).otherwise(F.lit(4)),
-    }
-    columns = {c: e.cast("smallint") for c, e in small.items()}
-    columns |= {
-        "date_key": date_key(d),
-        "full_date": d,
-        "day_name": F.date_format(d, "EEEE"),
-        "month_name": F.date_format(d, "MMMM"),
-        "month_abbrev": F.date_format(d, "MMM"),
-        "month_end_date": F.last_day(d),
-        "year_month": year * 100 + month,
-        "quarter_name": F.concat(F.lit("Q"), quarter.cast("string")),
-        "is_weekend": iso_day >= 6,
-        "is_last_day_of_month": d == F.last_day(d),
-    }
-    order = [
-        "date_key", "full_date", "day_of_month", "day_of_week", "day_name", "day_of_year",
-        "week_of_year", "iso_year", "month_number", "month_name", "month_abbrev", "month_end_date",
-        "year_month", "quarter_number", "quarter_name", "year_number", "fiscal_year",
-        "fiscal_quarter", "is_weekend", "is_last_day_of_month",
-    ]
-    return days.select(*[columns[c].alias(c) for c in order])
+    return days.selectExpr(*[f"{e} as {name}" for name, e in CALENDAR_COLUMNS.items()])
 
 
 def calendar(spark: SparkSession, first: date = DEFAULT_FIRST, last: date = DEFAULT_LAST) -> DataFrame:

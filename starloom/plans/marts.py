@@ -126,7 +126,9 @@ def sales_from_staging(
     header = header.withColumns({f"{r}_date_key": facts.date_key(f"{r}_date") for r in roles})
     carried = [out for lookup in order_lookups for out in lookup.carry]
     header = header.select("order_id", *[f"{r}_date_key" for r in roles], *carried)
-    df = lines.join(header, "order_id")
+    # Products first: the order join comes last and leaves the lines partitioned by order, which is
+    # the partitioning the per-order sums of the marts need.
+    df = lines
     wanted = _wanted(PRODUCT_COLUMNS, columns)
     if wanted:
         base = facts.PRODUCT_LOOKUP
@@ -134,6 +136,7 @@ def sales_from_staging(
         df = facts.resolve(
             df, dims, Lookup("_line_product_id", base.dimension, base.natural, base.surrogate, wanted)
         )
+    df = df.join(header, "order_id")
     df = _with_dates(df, dims["dim_date"], columns)
     return df.select(*_projection(columns))
 

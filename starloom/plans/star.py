@@ -6,6 +6,7 @@ order is the id plus one. Stored warehouses get their keys from `operators.keys`
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,18 @@ from starloom.plans.calendar import calendar, dim_date
 from starloom.sources.roles import OrderSystem
 
 
+class _OnDemand(dict):
+    """Tables declared when first asked for, so a query plans only what it reads."""
+
+    def __init__(self, **makers: Callable[[], DataFrame]):
+        super().__init__()
+        self._makers = makers
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._makers[name]()
+        return self[name]
+
+
 class DeclaredStar:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -32,28 +45,31 @@ class DeclaredStar:
     def keys(self) -> dict[str, DataFrame]:
         """Natural and surrogate keys only: enough for key resolution, nothing joined in."""
         raw = self.src.raw
-        return {
-            "dim_customer": raw("customer").select(
-                F.col("c_custkey").alias("customer_id"), (F.col("c_custkey") + 1).alias("customer_key")),
-            "dim_product": raw("part").select(
-                F.col("p_partkey").alias("product_id"), (F.col("p_partkey") + 1).alias("product_key")),
-            "dim_employee": raw("supplier").select(
-                F.col("s_suppkey").alias("employee_id"), (F.col("s_suppkey") + 1).alias("employee_key")),
-            "dim_shipper": self.src.shippers.select("shipper_id", F.col("shipper_id").alias("shipper_key")),
-        }
+
+        def pair(table: str, column: str, name: str) -> DataFrame:
+            return raw(table).select(
+                F.col(column).alias(f"{name}_id"), (F.col(column) + 1).alias(f"{name}_key"))
+
+        return _OnDemand(
+            dim_customer=lambda: pair("customer", "c_custkey", "customer"),
+            dim_product=lambda: pair("part", "p_partkey", "product"),
+            dim_employee=lambda: pair("supplier", "s_suppkey", "employee"),
+            dim_shipper=lambda: self.src.shippers.select("shipper_id", F.col("shipper_id").alias("shipper_key")),
+        )
 
     @cached_property
     def dims(self) -> dict[str, DataFrame]:
         """Dimensions with their attributes, current versions only."""
-        return {
-            "dim_date": dim_date(self.calendar),
-            "dim_customer": self.src.customers.withColumn("customer_key", F.col("customer_id") + 1),
-            "dim_product": self.src.products.withColumns(
+        src = self.src
+        return _OnDemand(
+            dim_date=lambda: dim_date(self.calendar),
+            dim_customer=lambda: src.customers.withColumn("customer_key", F.col("customer_id") + 1),
+            dim_product=lambda: src.products.withColumns(
                 {"product_key": F.col("product_id") + 1, "supplier_country": F.lit(None).cast("string")}),
-            "dim_employee": dimensions.employee_source(self.src.employees).withColumn(
+            dim_employee=lambda: dimensions.employee_source(src.employees).withColumn(
                 "employee_key", F.col("employee_id") + 1),
-            "dim_shipper": self.src.shippers.withColumn("shipper_key", F.col("shipper_id")),
-        }
+            dim_shipper=lambda: src.shippers.withColumn("shipper_key", F.col("shipper_id")),
+        )
 
     def sales_lines(self, columns: list[str]) -> DataFrame:
         """Sales columns over line rows as delivered, for marts that only sum and count orders.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from starloom.functions import instant
@@ -76,8 +78,9 @@ def measured(s) -> quality.Measured:
             natural: -1, "valid_from": instant(UNKNOWN_FROM), "is_current": True, **unknown})
 
     staff = s.dims["dim_employee"].drop("employee_key").withColumn("birth_date", F.lit(None).cast("date"))
-    line = materialise(s.fact_lines.withColumn("dw_load_batch_id", F.lit(1).cast("bigint")))
-    order = materialise(s.fact_orders)
+    built = [s.fact_lines.withColumn("dw_load_batch_id", F.lit(1).cast("bigint")), s.fact_orders]
+    with ThreadPoolExecutor(len(built)) as pool:
+        line, order = pool.map(materialise, built)
     lines = s.src.line_items.withColumn("net_amount", F.col("gross_amount") - F.col("discount_amount"))
     return quality.Measured(
         staging={
