@@ -7,15 +7,23 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.session import materialise
+
 
 def key_set(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
     """Distinct non-NULL values of a column. Duplicates fall away before the shuffle."""
     return df.select(F.col(column).alias(name or column)).filter(F.col(name or column).isNotNull()).distinct()
 
 
-def semi(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
-    """EXISTS: rows whose key occurs in `other`; the probed side is reduced to its keys first."""
-    keys = key_set(other, other_column, "_key")
+def semi(
+    df: DataFrame, column: str, other: DataFrame, other_column: str, unique: bool = False
+) -> DataFrame:
+    """EXISTS: rows whose key occurs in `other`.
+
+    The probed side is reduced to its distinct keys first. When its key is unique anyway, say so:
+    both sides then come straight from a shuffle and a hot key of `df` can be split at run time.
+    """
+    keys = other.select(F.col(other_column).alias("_key")) if unique else key_set(other, other_column, "_key")
     return df.join(keys, F.col(column) == F.col("_key"), "left_semi")
 
 
@@ -53,18 +61,28 @@ def dangling_keys(df: DataFrame, foreign_key: str, parent: DataFrame, key: str)
 
 
 def rows_with_dangling(df: DataFrame, checks: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Rows with any foreign key outside its parent table.
+    """Rows with any foreign key that is NULL or outside its parent table.
 
-    Each key column is reduced to its distinct values before it meets the parent. What is missing is
-    normally nothing or little, so the rows themselves are scanned once and not shuffled per key.
+    Each key column is reduced to its distinct values, met with the parent, and what is missing is
+    written out once. Normally that is nothing and the rows are only scanned; otherwise they meet
+    the written keys, whose size is then known to the planner.
     """
+    lost = None
+    for foreign_key, (parent, key) in checks.items():
+        part = dangling_keys(df, foreign_key, parent, key).select(
+            F.lit(foreign_key).alias("column"), F.col(foreign_key).cast("bigint").alias("value"))
+        lost = part if lost is None else lost.unionByName(part)
+    lost = materialise(lost)
+    # At most one row per checked column.
+    affected = {r[0] for r in lost.select("column").distinct().collect()}
     out, broken = df, F.lit(False)
-    for i, (foreign_key, (parent, key)) in enumerate(checks.items()):
-        missing = dangling_keys(df, foreign_key, parent, key).select(
-            F.col(foreign_key).alias(f"_missing_{i}")
-        )
-        out = out.join(missing, F.col(foreign_key) == F.col(f"_missing_{i}"), "left")
-        broken = broken | F.col(f"_missing_{i}").isNotNull() | F.col(foreign_key).isNull()
+    for foreign_key in checks:
+        broken = broken | F.col(foreign_key).isNull()
+        if foreign_key in affected:
+            name = f"_missing_{foreign_key}"
+            missing = lost.filter(F.col("column") == foreign_key).select(F.col("value").alias(name))
+            out = out.join(missing, F.col(foreign_key) == F.col(name), "left")
+            broken = broken | F.col(name).isNotNull()
     return out.filter(broken).select(*df.columns)
 
 

@@ -33,6 +33,12 @@ class Dimension:
     tracked: Sequence[str]
     refreshed: Sequence[str] = field(default_factory=tuple)
 
+    @property
+    def source_schema(self) -> StructType:
+        """What a source row carries: everything but the key and the versioning columns."""
+        own = {self.surrogate, *struct(_VERSIONING).names} - {"row_hash"}
+        return StructType([f for f in self.schema.fields if f.name not in own])
+
     @property
     def unknown_values(self) -> dict[str, Any]:
         values: dict[str, Any] = dict(self.unknown)
@@ -144,8 +150,8 @@ def employee_source(employees: DataFrame) -> DataFrame:
     leads = key_set(employees, "reports_to", "_leader_id")
     joined = (
         employees.withColumnRenamed("reports_to", "manager_employee_id")
-        .join(manager, F.col("manager_employee_id") == F.col("_manager_id"), "left")
         .join(leads, F.col("employee_id") == F.col("_leader_id"), "left")
+        .join(manager, F.col("manager_employee_id") == F.col("_manager_id"), "left")
         .withColumns({"full_name": full_name(), "is_manager": F.col("_leader_id").isNotNull()})
         .drop("_manager_id", "_leader_id")
     )

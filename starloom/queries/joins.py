@@ -159,8 +159,13 @@ from ord o left join versions v on v.customer_id = o.customer_id and v.valid_fro
 def asof_dim_lookup(s):
     facts = s.src.orders.select("order_id", "customer_id", "required_date")
     versions = customer_versions(s).withColumnRenamed("customer_id", "version_of")
-    return as_at(facts, versions, "customer_id", "version_of", F.col("required_date")).drop(
-        "version_of", "valid_to")
+    # The year is part of the join key: it cuts a busy customer's orders into the calendar's years.
+    last = facts.agg(F.max("required_date")).scalar()
+    covered = F.sequence(F.year("valid_from"), F.year(F.coalesce("valid_to", last)))
+    covered = F.when(F.year("valid_from") <= F.year(F.coalesce("valid_to", last)), covered)
+    return as_at(
+        facts, versions, "customer_id", "version_of", F.col("required_date"), F.year("required_date"), covered
+    ).drop("version_of", "valid_to")
 
 
 @query("customer_history", roles("ord", "cust") + ", " + VERSIONS_SQL + """

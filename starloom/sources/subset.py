@@ -51,7 +51,7 @@ def orders_and_lines(tables: Mapping[str, DataFrame], year: int, n: int) -> dict
     return {
         "customers": tables["customers"].join(chosen, "customer_id", "left_semi"),
         "orders": orders,
-        "order_details": semi(tables["order_details"], "order_id", orders, "order_id"),
+        "order_details": semi(tables["order_details"], "order_id", orders, "order_id", unique=True),
     }
 
 
