@@ -95,7 +95,7 @@ def mean_money(total: Column, n: Column, places: int = 2) -> Column:
 def safe_ratio_4(top: Column, bottom: Column) -> Column:
     """Exact half-up quotient of two positive amounts at four places."""
     return F.round(
-        top.cast("decimal(22,4)") / F.nullif(bottom.cast("decimal(15,4)"), F.lit(0)), 4
+        top.cast("decimal(22,4)") / F.nullif(bottom.cast("decimal(22,4)"), F.lit(0)), 4
     )
 
 

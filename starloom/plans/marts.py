@@ -73,6 +73,15 @@ def dim_shipped_date(calendar: DataFrame) -> DataFrame:
     )
 
 
+def dim_required_date(calendar: DataFrame) -> DataFrame:
+    """The third role of the calendar; not one of the declared marts."""
+    return calendar.select(
+        F.col("date_key").alias("required_date_key"), F.col("full_date").alias("required_date"),
+        F.col("year_number").alias("required_year"), F.col("quarter_name").alias("required_quarter"),
+        F.col("month_name").alias("required_month"),
+    )
+
+
 def _date_role(df: DataFrame, calendar: DataFrame, key: str, wanted: Mapping[str, str]) -> DataFrame:
     # A calendar has one row per day of a declared range, so its size does not follow the facts.
     day = calendar.select(F.col("date_key").alias("_day"), *[F.col(c).alias(out) for out, c in wanted.items()])
