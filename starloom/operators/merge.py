@@ -6,7 +6,7 @@ state of the table is a projection of that classification.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -131,7 +131,10 @@ class Scd2Result:
     changes: DataFrame   # the classification, for the counts
 
 
-def scd2_merge(
+KEPT, CLOSED, OPENED = "kept", "closed", "opened"
+
+
+def scd2_versions(
     current: DataFrame,
     source: DataFrame,
     key: str,
@@ -141,45 +144,68 @@ def scd2_merge(
     refresh: Sequence[str] = (),
     now: Column | None = None,
     changes: DataFrame | None = None,
-) -> Scd2Result:
-    """Close changed versions at `effective` and open a version per new or changed entity.
+) -> DataFrame:
+    """Every version the load leaves or makes, with its `_piece`, in one pass over the changes.
 
-    `current` holds current versions only; history is never read. Entities missing from the source
-    stay current. `changes` may be passed in already written, to avoid repeating the join.
+    A changed entity gives two rows: the version closed at `effective` and the one opened there.
+    Entities missing from the source stay current. Opened versions have no surrogate key yet.
     """
     now = effective if now is None else now
     batch_id = F.lit(batch) if isinstance(batch, int) else batch
     changes = scd2_changes(current, source, key, refresh=refresh) if changes is None else changes
     action = F.col("_action")
-    schema = current.schema
-
-    def old(**overrides: Column) -> list[Column]:
-        return [
-            overrides.get(f.name, F.col(f"t.{f.name}")).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-
-    renewed = {c: F.when(F.col("_refresh"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) for c in refresh}
-    kept = changes.filter(action.isin(KEEP, ABSENT)).select(
-        *old(
-            **renewed,
-            dw_updated_at=F.when(F.col("_refresh"), now).otherwise(F.col("t.dw_updated_at")),
-        )
-    )
-    closed = changes.filter(action == UPDATE).select(
-        *old(valid_to=effective, is_current=F.lit(False), dw_updated_at=now)
-    )
-    fixed = {
-        "valid_from": effective, "valid_to": F.lit(None), "is_current": F.lit(True),
-        "dw_load_batch_id": batch_id, "dw_inserted_at": now, "dw_updated_at": now,
-    }
-    opened = changes.filter(action.isin(INSERT, UPDATE)).select(
-        *[
-            (fixed[f.name] if f.name in fixed else F.col(f"s.{f.name}")).cast(f.dataType).alias(f.name)
-            for f in schema.fields if f.name != surrogate
-        ]
-    )
-    return Scd2Result(kept, closed, opened, changes)
+
+    def row(piece: str, value: Callable[[str], Column]) -> Column:
+        return F.struct(
+            *[value(f.name).cast(f.dataType).alias(f.name) for f in current.schema.fields],
+            F.lit(piece).alias("_piece"))
+
+    def kept(c: str) -> Column:
+        old = F.col(f"t.{c}")
+        if c in refresh:
+            return F.when(F.col("_refresh"), F.col(f"s.{c}")).otherwise(old)
+        return F.when(F.col("_refresh"), now).otherwise(old) if c == "dw_updated_at" else old
+
+    def closed(c: str) -> Column:
+        ended = {"valid_to": effective, "is_current": F.lit(False), "dw_updated_at": now}
+        return ended.get(c, F.col(f"t.{c}"))
+
+    def opened(c: str) -> Column:
+        fixed = {
+            surrogate: F.lit(None), "valid_from": effective, "valid_to": F.lit(None),
+            "is_current": F.lit(True), "dw_load_batch_id": batch_id, "dw_inserted_at": now,
+            "dw_updated_at": now,
+        }
+        return fixed[c] if c in fixed else F.col(f"s.{c}")
+
+    before = F.when(action.isin(KEEP, ABSENT), row(KEPT, kept)).when(action == UPDATE, row(CLOSED, closed))
+    after = F.when(action.isin(INSERT, UPDATE), row(OPENED, opened))
+    return changes.select(F.inline(F.filter(F.array(before, after), lambda r: r.isNotNull())))
+
+
+def scd2_merge(
+    current: DataFrame,
+    source: DataFrame,
+    key: str,
+    surrogate: str,
+    effective: Column,
+    batch: int | Column,
+    refresh: Sequence[str] = (),
+    now: Column | None = None,
+    changes: DataFrame | None = None,
+) -> Scd2Result:
+    """Close changed versions at `effective` and open a version per new or changed entity.
+
+    `current` holds current versions only; history is never read. The pieces are read apart, so
+    pass in `changes` already written when the join must not be repeated.
+    """
+    changes = scd2_changes(current, source, key, refresh=refresh) if changes is None else changes
+    versions = scd2_versions(current, source, key, surrogate, effective, batch, refresh, now, changes)
+
+    def piece(name: str) -> DataFrame:
+        return versions.filter(F.col("_piece") == name).drop("_piece")
+
+    return Scd2Result(piece(KEPT), piece(CLOSED), piece(OPENED).drop(surrogate), changes)
 
 
 def scd2_stats(changes: DataFrame) -> LoadStats:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import instant, scd_hash
 from starloom.operators.keys import assign_keys
-from starloom.operators.merge import INSERT, KEEP, UPDATE, scd2_merge, upsert
+from starloom.operators.merge import INSERT, KEEP, UPDATE, scd2_versions, upsert
 from starloom.plans import dimensions, facts
 from starloom.plans.load import pin_keys
 from starloom.queries.base import query, roles
@@ -31,12 +31,6 @@ def as_current(df, key, natural):
         "dw_inserted_at": instant(FIRST), "dw_updated_at": instant(FIRST)})
 
 
-def all_versions(result):
-    opened = result.opened
-    keep = opened.columns
-    return result.kept.select(*keep).unionByName(result.closed.select(*keep)).unionByName(opened)
-
-
 # --- Type 2 -----------------------------------------------------------------------------------------
 
 TRACKED = ["company_name", "contact_title", "phone", "country"]
@@ -62,8 +56,8 @@ def scd2_customer(s):
     source = (
         people.filter(F.col("contact_title") != "FURNITURE").withColumn("phone", changed)
         .withColumn("row_hash", scd_hash(*TRACKED)).drop("balance"))
-    result = scd2_merge(current, source, "customer_id", "customer_key", instant(SECOND), 2)
-    return all_versions(result).select(
+    versions = scd2_versions(current, source, "customer_id", "customer_key", instant(SECOND), 2)
+    return versions.select(
         "customer_id", "phone", "valid_from", "valid_to", "is_current", "dw_load_batch_id")
 
 
@@ -88,8 +82,8 @@ def scd2_type1_product(s):
         "units_in_stock": F.when(F.col("units_in_stock") > 25, F.col("units_in_stock") + 5).otherwise(
             F.col("units_in_stock")),
     }).withColumn("row_hash", scd_hash(*tracked))
-    result = scd2_merge(current, source, "product_id", "product_key", instant(SECOND), 2, refresh=stock)
-    return all_versions(result).select(
+    versions = scd2_versions(current, source, "product_id", "product_key", instant(SECOND), 2, refresh=stock)
+    return versions.select(
         "product_id", "unit_price", "units_in_stock", "valid_from", "valid_to", "is_current", "dw_updated_at")
 
 

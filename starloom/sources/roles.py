@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions import AMOUNT, money, safe_ratio_4
+from starloom.session import materialise
 
 
 class OrderSystem:
@@ -68,12 +69,12 @@ class OrderSystem:
 
     @cached_property
     def categories(self) -> DataFrame:
-        return self.products.groupBy("category_name").agg(
-            F.count(F.lit(1)).alias("product_count")
-        ).select(
+        """Distinct part types. Written out, like the shippers, so that its real size is known."""
+        kinds = self.products.groupBy("category_name").agg(F.count(F.lit(1)).alias("product_count"))
+        return materialise(kinds.select(
             F.col("category_name").alias("category_id"), F.initcap("category_name").alias("category_name"),
             F.concat(F.col("product_count").cast("string"), F.lit(" products")).alias("description"),
-        )
+        ))
 
     @cached_property
     def suppliers(self) -> DataFrame:
@@ -100,10 +101,16 @@ class OrderSystem:
 
     @cached_property
     def shippers(self) -> DataFrame:
-        return self.raw("orders").select("o_orderpriority").distinct().select(
+        """Distinct order priorities, written out: the planner then sees how few they are.
+
+        Estimated from the orders they come from, they would look large, and the orders would be
+        shuffled on a handful of values to meet them.
+        """
+        kinds = self.raw("orders").select("o_orderpriority").distinct()
+        return materialise(kinds.select(
             F.substring("o_orderpriority", 1, 1).cast("int").alias("shipper_id"),
             F.expr("substring(o_orderpriority, 3)").alias("company_name"),
-        )
+        ))
 
     @cached_property
     def orders(self) -> DataFrame:
