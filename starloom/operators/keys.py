@@ -22,7 +22,7 @@ def _offsets(tagged: DataFrame) -> DataFrame:
         F.min("_pos").alias("_first"), (F.max("_pos") - F.min("_pos") + 1).alias("_span"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     return per_part.select(
-        "_part", "_first", F.coalesce(F.sum("_span").over(before), F.lit(0)).alias("_before")
+        "_part", "_first", "_span", F.coalesce(F.sum("_span").over(before), F.lit(0)).alias("_before")
     )
 
 
@@ -40,7 +40,7 @@ def number_tagged(tagged: DataFrame, name: str, start: int | Column = 1, step: i
     return (
         tagged.join(F.broadcast(_offsets(tagged)), "_part")
         .withColumn(name, (first + offset * step).cast("bigint"))
-        .drop("_part", "_pos", "_first", "_before")
+        .drop("_part", "_pos", "_first", "_span", "_before")
     )
 
 
@@ -73,10 +73,15 @@ def fill_keys(tagged: DataFrame, key: str, is_new: Column, max_key: int) -> Data
     return (
         tagged.join(F.broadcast(offsets), "_part", "left")
         .withColumn(key, F.when(is_new, fresh).otherwise(F.col(key)).cast("bigint"))
-        .drop("_part", "_pos", "_first", "_before")
+        .drop("_part", "_pos", "_first", "_span", "_before")
     )
 
 
+def numbers_taken(tagged: DataFrame, is_new: Column) -> int:
+    """How many numbers `fill_keys` uses up, gaps included."""
+    return int(_offsets(tagged.filter(is_new)).agg(F.coalesce(F.sum("_span"), F.lit(0))).first()[0])
+
+
 def highest_key(df: DataFrame, key: str) -> int:
     """Largest key in use, 0 for an empty table; the unknown member does not count."""
     top = df.agg(F.max(key)).first()[0]

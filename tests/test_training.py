@@ -9,6 +9,7 @@ from starloom.plans import training
 from starloom.plans.contracts import ContractViolation, assert_contracts
 from starloom.sources import subset
 from starloom.sources.schemas import TRAINING, struct
+from starloom.sources.store import WarehouseStore, publish_snapshot
 
 
 @pytest.fixture(scope="module")
@@ -47,7 +48,7 @@ def test_counts_rollup_cube_and_sets(courses):
     assert dated.cube(*keys).agg(total).filter("vendor_name is null and course_name is null and start_date is null").first().n == 6
 
 
-def test_stock_counts_all_movements_then_purges(spark):
+def test_stock_counts_all_movements_then_purges(spark, tmp_path):
     moves = spark.createDataFrame(
         [(1, datetime(2011, 1, 1), "Start", 46), (1, datetime(2012, 1, 1), "Out", -15), (1, datetime(2015, 1, 1), "Out", -1),
          (2, datetime(2016, 1, 1), "Start", 5)], TRAINING["book_transfers"])
@@ -55,6 +56,10 @@ def test_stock_counts_all_movements_then_purges(spark):
     assert sorted(map(tuple, stock.collect())) == [(1, 30), (2, 5)]
     assert left.count() == 2
     assert sorted(map(tuple, training.rebuild_stock(left).collect())) == [(1, 31)]
+    store = WarehouseStore(spark, str(tmp_path))
+    publish_snapshot(store, {"book_stock": stock, "book_transfers": left}, "reset")
+    assert store.read("book_stock", stock.schema).count() == 2
+    assert store.read("book_transfers", left.schema).count() == 2
     short = spark.createDataFrame([(1, datetime(2011, 1, 1), "Out", -4)], TRAINING["book_transfers"])
     with pytest.raises(ContractViolation):
         assert_contracts(training.rebuild_stock(short), "book_stock")
