@@ -13,7 +13,7 @@ from starloom.plans import dimensions, facts
 from starloom.plans.load import pin_keys
 from starloom.queries.base import query, roles
 from starloom.queries.warehouse_marts import with_facts
-from starloom.session import shared_dir
+from starloom.session import work_path
 from starloom.sources import subset
 from starloom.sources.landing import conform, row_count_report
 from starloom.sources.schemas import struct
@@ -220,7 +220,7 @@ def staging_snapshot(s):
     """Customers and orders replaced together in a stored landing layer, then read back."""
     schema = struct("customer_id bigint, company_name string, contact_name string, contact_title string")
     landed = conform(s.src.customers, schema)
-    store = WarehouseStore(s.spark, f"{shared_dir(s.spark)}/starloom/landing-{uuid.uuid4().hex}")
+    store = WarehouseStore(s.spark, work_path(s.spark))
     publish_snapshot(store, {"customers": landed, "orders": s.src.orders}, "truncate and reload")
     return store.read("customers", schema)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+_OWN: dict[str, str] = {}
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session that somebody else built."""
@@ -40,23 +43,38 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: `spark.checkpoint.dir`, or a temporary one in local mode."""
+    """This application's folder below `spark.checkpoint.dir`, which every executor can reach.
+
+    It is deleted when the driver ends. Where the setting is missing, a session whose executors
+    are threads of the driver gets a temporary folder; any other has to be given one.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="starloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    if not configured:
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        app = spark.sparkContext.applicationId
+        configured = _OWN.get(app) or _OWN.setdefault(app, tempfile.mkdtemp(prefix="starloom-"))
+    folder = f"{configured.rstrip('/')}/starloom-{spark.sparkContext.applicationId}"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
     return folder
 
 
+def work_path(spark: SparkSession) -> str:
+    """A name in the shared folder that nothing uses yet."""
+    return f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write `df` once to shared storage and read it back, so later steps start from files.
 
     Used where a result feeds several steps or where row-to-partition numbering must not change
     between them; losing an executor afterwards costs a re-read, not a recomputation.
     """
-    target = path or f"{shared_dir(df.sparkSession)}/starloom/{uuid.uuid4().hex}"
+    target = path or work_path(df.sparkSession)
     df.write.mode("overwrite").parquet(target)
     return df.sparkSession.read.schema(df.schema).parquet(target)
