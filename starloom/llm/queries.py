@@ -7,11 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import multi_index_simhash, threshold_rules
+from starloom.llm import bin_slack, multi_index_simhash, skip_chain_crf, source_mix, threshold_rules
 from starloom.llm.texts import table
 from starloom.session import prepare
 
 
+def op2_skip_chain_crf(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(prepare(spark), folder, "documents")
+    found = skip_chain_crf.find(docs, ["doc_id"], skip_chain_crf.train(docs))
+    return found.select(
+        "doc_id", *[f"n_{k}" for k in skip_chain_crf.KINDS], F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans"
+    )
+
+
+def op6_bin_slack(spark: SparkSession, folder: str) -> DataFrame:
+    return bin_slack.packed(table(spark, folder, "documents"), ["doc_id"])
+
+
 def op7_multi_index_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     groups = multi_index_simhash.near_duplicates(docs, ["doc_id"])
@@ -21,6 +33,10 @@ def op7_multi_index_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return source_mix.mixed(table(spark, folder, "documents"))
+
+
 def op9_threshold_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(prepare(spark), folder, "documents")
     return threshold_rules.judged(docs, ["doc_id"]).select(
@@ -29,6 +45,8 @@ def op9_threshold_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_multi_index_simhash, op9_threshold_rules)
+    f.__name__: f for f in (
+        op2_skip_chain_crf, op6_bin_slack, op7_multi_index_simhash, op8_source_mix, op9_threshold_rules,
+    )
 }
 SQL: dict[str, str] = {"op9_threshold_rules": threshold_rules.sql()}
