@@ -7,11 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bin_slack, multi_index_simhash, skip_chain_crf, source_mix, threshold_rules
+from starloom.llm import (
+    bin_slack,
+    densified_minhash,
+    multi_index_simhash,
+    skip_chain_crf,
+    source_mix,
+    threshold_rules,
+    warc_chunks,
+)
 from starloom.llm.texts import table
 from starloom.session import prepare
 
 
+def op1_densified_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return densified_minhash.edits(table(spark, folder, "documents"))
+
+
 def op2_skip_chain_crf(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(prepare(spark), folder, "documents")
     found = skip_chain_crf.find(docs, ["doc_id"], skip_chain_crf.train(docs))
@@ -20,6 +32,13 @@ def op2_skip_chain_crf(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_warc_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_chunks.round_trip(table(spark, folder, "pages")).select(
+        "page_id", F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type",
+        "refers_to", "record_id", "intact",
+    )
+
+
 def op6_bin_slack(spark: SparkSession, folder: str) -> DataFrame:
     return bin_slack.packed(table(spark, folder, "documents"), ["doc_id"])
 
@@ -46,7 +65,7 @@ def op9_threshold_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_skip_chain_crf, op6_bin_slack, op7_multi_index_simhash, op8_source_mix, op9_threshold_rules,
+        op1_densified_minhash, op2_skip_chain_crf, op3_warc_chunks, op6_bin_slack, op7_multi_index_simhash, op8_source_mix, op9_threshold_rules,
     )
 }
 SQL: dict[str, str] = {"op9_threshold_rules": threshold_rules.sql()}
