@@ -11,6 +11,7 @@ from starloom.llm import (
     bin_slack,
     densified_minhash,
     multi_index_simhash,
+    nb_svm,
     skip_chain_crf,
     source_mix,
     threshold_rules,
@@ -39,6 +40,10 @@ def op3_warc_chunks(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_nb_svm(spark: SparkSession, folder: str) -> DataFrame:
+    return nb_svm.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op6_bin_slack(spark: SparkSession, folder: str) -> DataFrame:
     return bin_slack.packed(table(spark, folder, "documents"), ["doc_id"])
 
@@ -65,7 +70,7 @@ def op9_threshold_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_densified_minhash, op2_skip_chain_crf, op3_warc_chunks, op6_bin_slack, op7_multi_index_simhash, op8_source_mix, op9_threshold_rules,
+        op1_densified_minhash, op2_skip_chain_crf, op3_warc_chunks, op4_nb_svm, op6_bin_slack, op7_multi_index_simhash, op8_source_mix, op9_threshold_rules,
     )
 }
 SQL: dict[str, str] = {"op9_threshold_rules": threshold_rules.sql()}
