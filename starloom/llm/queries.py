@@ -12,6 +12,7 @@ from starloom.llm import (
     densified_minhash,
     multi_index_simhash,
     nb_svm,
+    ppm,
     skip_chain_crf,
     source_mix,
     threshold_rules,
@@ -44,6 +45,12 @@ def op4_nb_svm(spark: SparkSession, folder: str) -> DataFrame:
     return nb_svm.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op5_ppm(spark: SparkSession, folder: str) -> DataFrame:
+    return ppm.corpus_scores(table(spark, folder, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"
+    )
+
+
 def op6_bin_slack(spark: SparkSession, folder: str) -> DataFrame:
     return bin_slack.packed(table(spark, folder, "documents"), ["doc_id"])
 
@@ -70,7 +77,7 @@ def op9_threshold_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_densified_minhash, op2_skip_chain_crf, op3_warc_chunks, op4_nb_svm, op6_bin_slack, op7_multi_index_simhash, op8_source_mix, op9_threshold_rules,
+        op1_densified_minhash, op2_skip_chain_crf, op3_warc_chunks, op4_nb_svm, op5_ppm, op6_bin_slack, op7_multi_index_simhash, op8_source_mix, op9_threshold_rules,
     )
 }
 SQL: dict[str, str] = {"op9_threshold_rules": threshold_rules.sql()}
