@@ -1,12 +1,13 @@
 """Language-model scores by prediction by partial matching over bytes, beside a unigram word score.
 
-The byte model is a trie of contexts of up to two bytes with the counts of what follows, learnt from
-all training texts. A symbol is predicted from the longest context; where it was never seen there,
-the model escapes to the next shorter one with the probability d / (n + d) (n symbols seen, d of
-them distinct) and excludes the symbols it has just ruled out, down to an even choice among the
-bytes that were never seen at all. As counts no longer change, the log probability of every symbol
-after every context is worked out once: 2 ** 24 numbers, whatever the corpus. Byte 255, which UTF-8
-never uses, stands before the start and at the end of a text.
+The byte model is a trie of contexts of up to `ORDER` bytes with the counts of what follows, learnt
+from all training texts. A symbol is predicted from the longest context; where it was never seen
+there, the model escapes to the next shorter one with the probability d / (n + d) (n symbols seen, d
+of them distinct) and excludes the symbols it has just ruled out, down to an even choice among the
+bytes that were never seen at all. Byte 255, which UTF-8 never uses, stands before the start and at
+the end of a text. A string is a node of the trie if it makes up at least 2 ** -NODE_BITS of all
+positions, so no depth has more than 2 ** NODE_BITS nodes, whatever the corpus, and what reaches
+every task is bounded.
 
 The word score needs the count of every word. Words are counted per task and summed by Spark. The
 `HEAD` most frequent ones reach every task; the others, none of which can be frequent, meet the
@@ -26,73 +27,149 @@ from pyspark.sql import functions as F
 from starloom.llm.texts import pieces, remainder, utf8
 from starloom.session import materialise, prepare
 
-EDGE = 255
-CODES = 1 << 24
+ORDER = 4
+NODE_BITS = 20
 HEAD = 1 << 17
 BLOCK = 1 << 20
 FLUSH_WORDS = 200_000
 FLUSH_CODES = 1 << 22
+_EDGES = b"\xff" * ORDER
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def codes(text: bytes) -> Iterator[np.ndarray]:
-    """Two bytes of context and the symbol after them, for every byte and the end, in blocks."""
-    whole = b"\xff\xff" + text + b"\xff"
-    for start in range(0, len(whole) - 2, BLOCK):
-        a = np.frombuffer(whole, np.uint8, min(BLOCK + 2, len(whole) - start), start).astype(np.int32)
-        yield a[:-2] << 16 | a[1:-1] << 8 | a[2:]
-
-
-def log_table(counts: np.ndarray) -> np.ndarray:
-    """log10 of the probability of each symbol after each two bytes, from their counts (`CODES` long)."""
-    second = counts.reshape(256, 256, 256)
-    first = second.sum(0, dtype=np.float64)
-    zeroth = first.sum(0)
-    seen0, seen1 = zeroth > 0, first > 0
-
-    def log(x: np.ndarray) -> np.ndarray:
-        return np.log10(np.maximum(x, 1e-300))
-
-    def escape(seen: np.ndarray, distinct: np.ndarray) -> np.ndarray:
-        """From a context without symbols one escapes for certain."""
-        return np.where(distinct > 0, log(distinct) - log(seen + distinct), 0.0)
-
-    # order 0, for each last byte, without the symbols seen after it
-    left0 = np.where(seen1, 0.0, zeroth)
-    n0, d0 = left0.sum(1), (left0 > 0).sum(1)
-    fresh = -np.log10(max(256 - seen0.sum(), 1))
-    low = np.where(seen0, log(zeroth) - log(n0 + d0)[:, None], escape(n0, d0)[:, None] + fresh)
-    table = np.empty((256, 256, 256), np.float32)
-    for byte in range(256):
-        here = second[byte].astype(np.float64)
-        seen2 = here > 0
-        left1 = np.where(seen2, 0.0, first)
-        n1, d1 = left1.sum(1), (left1 > 0).sum(1)
-        middle = np.where(seen1, log(first) - log(n1 + d1)[:, None], escape(n1, d1)[:, None] + low)
-        n2, d2 = here.sum(1), seen2.sum(1)
-        table[byte] = np.where(seen2, log(here) - log(n2 + d2)[:, None], escape(n2, d2)[:, None] + middle)
-    return table.reshape(-1)
-
-
-def text_score(text: bytes, table: np.ndarray) -> float:
-    return float(sum(table[block].sum(dtype=np.float64) for block in codes(text)))
+    """`ORDER` bytes of context and the symbol after them as one number, for every byte and the end, in blocks."""
+    whole = _EDGES + text + b"\xff"
+    for start in range(0, len(whole) - ORDER, BLOCK):
+        a = np.frombuffer(whole, np.uint8, min(BLOCK + ORDER, len(whole) - start), start).astype(np.int64)
+        code = a[: len(a) - ORDER]
+        for i in range(1, ORDER + 1):
+            code = code << 8 | a[i: len(a) - ORDER + i]
+        yield code
+
+
+class _Places:
+    """Where each of some distinct numbers stands, by open addressing."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(int(2 * len(keys)).bit_length(), 4)
+        self.keys, self.at = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int32)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = self.keys[slot] < 0
+            self.keys[slot[free]] = keys[left[free]]  # of several the last one stays
+            placed = self.keys[slot] == keys[left]
+            self.at[slot[placed]] = left[placed]
+            left, slot = left[~placed], (slot[~placed] + 1) & (1 << self.bits) - 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * _MIX >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Places of the numbers, -1 for those that are not there."""
+        slot = self._slot(keys)
+        out = np.where(self.keys[slot] == keys, self.at[slot], -1)
+        open_ = np.flatnonzero((out < 0) & (self.keys[slot] >= 0))
+        slot = slot[open_]
+        while len(open_):
+            slot = (slot + 1) & (1 << self.bits) - 1
+            held = self.keys[slot]
+            hit = held == keys[open_]
+            out[open_[hit]] = self.at[slot[hit]]
+            go = ~hit & (held >= 0)
+            open_, slot = open_[go], slot[go]
+        return out
+
+
+class Trie:
+    """The model: per context length the nodes, and per context what an escape from it leads to."""
+
+    def __init__(self, nodes: list[tuple[np.ndarray, np.ndarray]]):
+        """`nodes[k]`: the strings of k + 1 bytes, as sorted numbers, and their counts."""
+        self.levels, upper = [], None
+        for keys, counts in nodes:
+            contexts, first = np.unique(keys >> 8, return_index=True)
+            counts = counts.astype(np.float64)
+            distinct = np.diff(np.append(first, len(keys))).astype(np.float64)
+            seen = np.add.reduceat(counts, first) if len(keys) else np.zeros(0)
+            owner = np.searchsorted(contexts, keys >> 8)
+            norm = np.log10(seen + distinct)
+            level = {"keys": keys, "logs": np.log10(counts), "own": np.log10(counts) - norm[owner], "contexts": contexts,
+                     "escape": np.log10(distinct) - norm, "x_norm": np.zeros(len(contexts)), "x_escape": np.zeros(len(contexts))}
+            if upper is not None and len(keys):
+                # the shorter context without its symbols that follow the longer one
+                short_keys, short_counts, short_contexts, short_seen, short_distinct = upper
+                mask = (1 << 8 * len(self.levels)) - 1
+                again = np.searchsorted(short_keys, keys & mask)
+                out = np.add.reduceat(short_counts[again], first)
+                at = np.searchsorted(short_contexts, (contexts & mask >> 8))
+                left, kinds = short_seen[at] - out, short_distinct[at] - distinct
+                some = kinds > 0
+                level["x_norm"][some] = np.log10(left[some] + kinds[some])
+                level["x_escape"][some] = np.log10(kinds[some]) - level["x_norm"][some]
+            upper = (keys, counts, contexts, seen, distinct)
+            self.levels.append(level)
+        self.fresh = -float(np.log10(max(256 - len(nodes[0][0]), 1)))
+        self.places = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"places": None}
+
+    def logs(self, code: np.ndarray) -> np.ndarray:
+        """log10 of the probability of each symbol after its context."""
+        if self.places is None:
+            self.places = [(_Places(level["keys"]), _Places(level["contexts"])) for level in self.levels]
+        total = np.zeros(len(code))
+        left = np.arange(len(code))
+        excluded = np.zeros(len(code), bool)
+        x_norm, x_escape = np.zeros(len(code)), np.zeros(len(code))
+        for k in reversed(range(len(self.levels))):
+            level, (nodes, contexts) = self.levels[k], self.places[k]
+            key = code[left] & (1 << 8 * (k + 1)) - 1
+            node = nodes.find(key)
+            hit = node >= 0
+            at, place = left[hit], node[hit]
+            total[at] += np.where(excluded[hit], level["logs"][place] - x_norm[hit], level["own"][place])
+            left, key, excluded, x_escape = left[~hit], key[~hit], excluded[~hit], x_escape[~hit]
+            if not len(left):
+                return total
+            context = contexts.find(key >> 8)
+            known = context >= 0
+            own = np.zeros(len(left))
+            own[known] = level["escape"][context[known]]
+            total[left] += np.where(excluded, x_escape, own)
+            x_norm, x_escape = np.zeros(len(left)), np.zeros(len(left))
+            x_norm[known], x_escape[known] = level["x_norm"][context[known]], level["x_escape"][context[known]]
+            excluded = known
+        total[left] += self.fresh
+        return total
+
+    def score(self, text: bytes) -> float:
+        return float(sum(self.logs(block).sum() for block in codes(text)))
 
 
 def counted(texts: DataFrame) -> DataFrame:
     """Partial counts (word, code, n) of the texts: of each word, or, where word is null, of each code.
 
-    The code -1 counts the texts. A task holds `FLUSH_WORDS` words at most and one table of codes.
+    The code -1 counts the texts. A task holds `FLUSH_WORDS` words and `FLUSH_CODES` codes at most
+    (and those of one text).
     """
-    schema = pa.schema([("word", pa.binary()), ("code", pa.int32()), ("n", pa.int64())])
+    schema = pa.schema([("word", pa.binary()), ("code", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
-        table, waiting, held, texts_seen = np.zeros(CODES, np.int64), [], 0, 0
+        waiting, held, texts_seen = [], 0, 0
 
         def word_rows() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(words.keys(), pa.binary()), pa.nulls(len(words), pa.int32()), pa.array(words.values(), pa.int64())],
+                [pa.array(words.keys(), pa.binary()), pa.nulls(len(words), pa.int64()), pa.array(words.values(), pa.int64())],
                 schema=schema)
 
+        def code_rows() -> pa.RecordBatch:
+            found, n = np.unique(np.concatenate(waiting), return_counts=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.nulls(len(found), pa.binary()), pa.array(found), pa.array(n, pa.int64())], schema=schema)
+
         for batch in pieces(batches):
             for text in utf8(batch.column(0)):
                 text = text.lower()
@@ -101,34 +178,38 @@ def counted(texts: DataFrame) -> DataFrame:
                 for block in codes(text):
                     waiting.append(block)
                     held += len(block)
-                if held >= FLUSH_CODES:
-                    table += np.bincount(np.concatenate(waiting), minlength=CODES)
-                    waiting, held = [], 0
+                    if held >= FLUSH_CODES:
+                        yield code_rows()
+                        waiting, held = [], 0
                 if len(words) >= FLUSH_WORDS:
                     yield word_rows()
                     words.clear()
         if words:
             yield word_rows()
         if waiting:
-            table += np.bincount(np.concatenate(waiting), minlength=CODES)
-        found = np.flatnonzero(table)
+            yield code_rows()
         if texts_seen:
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(found) + 1, pa.binary()), pa.array(np.append(found, -1), pa.int32()),
-                 pa.array(np.append(table[found], texts_seen), pa.int64())], schema=schema)
+                [pa.nulls(1, pa.binary()), pa.array([-1], pa.int64()), pa.array([texts_seen], pa.int64())], schema=schema)
 
-    return texts.mapInArrow(run, "word binary, code int, n bigint")
+    return texts.mapInArrow(run, "word binary, code bigint, n bigint")
 
 
-def learn(texts: DataFrame) -> tuple[DataFrame, np.ndarray, int]:
-    """The words' counts (word, c), the byte model's table, and the number of texts."""
+def learn(texts: DataFrame) -> tuple[DataFrame, Trie, int]:
+    """The words' counts (word, c), the byte model, and the number of texts."""
     partial = materialise(counted(texts))
     words = materialise(partial.filter("word is not null").groupBy("word").agg(F.sum("n").alias("c")))
-    found = partial.filter("word is null").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
-    code, n = found["code"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
-    counts = np.zeros(CODES, np.float32)
-    counts[code[code >= 0]] = n[code >= 0]
-    return words, log_table(counts), int(n[code < 0].sum())
+    strings = materialise(partial.filter("word is null").groupBy("code").agg(F.sum("n").alias("n")))
+    facts = strings.agg(F.sum(F.when(F.col("code") >= 0, F.col("n"))).alias("positions"),
+                        F.sum(F.when(F.col("code") < 0, F.col("n"))).alias("texts")).first()
+    least = (facts.positions or 0) / (1 << NODE_BITS)
+    nodes = []
+    for depth in range(1, ORDER + 2):
+        short = F.col("code").bitwiseAND(F.lit((1 << 8 * depth) - 1))
+        kept = strings.filter("code >= 0").groupBy(short.alias("key")).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+        found = kept.toPandas().sort_values("key")
+        nodes.append((found["key"].to_numpy(np.int64), found["n"].to_numpy(np.int64)))
+    return words, Trie(nodes), int(facts.texts or 0)
 
 
 def scored(docs: DataFrame, training, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -139,19 +220,19 @@ def scored(docs: DataFrame, training, id_col: str = "doc_id", text: str = "text"
     Repeated rows count as often in training and are scored alike; an empty table gives an empty result.
     """
     spark = prepare(docs.sparkSession)
-    words, table, texts = learn(docs.filter(training).select(text))
+    words, trie, texts = learn(docs.filter(training).select(text))
     total = words.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
     tokens, distinct = total.n + texts, total.v + (texts > 0)
     frequent = words.orderBy(F.desc("c"), "word").limit(HEAD).toPandas()
     head = {bytes(w): int(c) for w, c in zip(frequent["word"], frequent["c"])}
-    shared = spark.sparkContext.broadcast((head, table))  # at most HEAD words and CODES numbers
+    shared = spark.sparkContext.broadcast((head, trie))  # HEAD words and 2 ** NODE_BITS nodes a depth at most
     whole = len(head) == total.v  # then no other word is known either
 
     schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("word", pa.binary()), ("k", pa.int64()), ("n_tokens", pa.int64()),
                         ("n_known", pa.int64()), ("logs", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, table = shared.value
+        head, trie = shared.value
         logs = {w: (c, float(np.log10(c + 1))) for w, c in head.items()}
         for batch in pieces(batches):
             keys, ids, rows, tails = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [], []
@@ -167,7 +248,7 @@ def scored(docs: DataFrame, training, id_col: str = "doc_id", text: str = "text"
                         sum_ += k * entry[1]
                     elif not whole:
                         tails.append((key, id_, word, k))
-                rows.append((key, id_, n, known, sum_, text_score(lowered, table), len(lowered)))
+                rows.append((key, id_, n, known, sum_, trie.score(lowered), len(lowered)))
             key, id_, n, known, sum_, score, size = zip(*rows)
             m = len(tails)
             tail = list(zip(*tails)) or [(), (), (), ()]
