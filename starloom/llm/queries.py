@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starloom.llm import (
     bin_slack,
     densified_minhash,
+    licence_paragraphs,
     multi_index_simhash,
     nb_svm,
     ppm,
@@ -75,9 +76,14 @@ def op9_threshold_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_licence_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    return licence_paragraphs.notices(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_densified_minhash, op2_skip_chain_crf, op3_warc_chunks, op4_nb_svm, op5_ppm, op6_bin_slack, op7_multi_index_simhash, op8_source_mix, op9_threshold_rules,
+        op10_licence_paragraphs,
     )
 }
 SQL: dict[str, str] = {"op9_threshold_rules": threshold_rules.sql()}
