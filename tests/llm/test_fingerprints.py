@@ -1,0 +1,158 @@
+"""Document fingerprints and SimHash components against plain versions."""
+
+import hashlib
+import itertools
+
+import numpy as np
+import pytest
+import xxhash
+from tables import documents, lower, odd_rows, prose, rows_of, saved, word_list
+
+from starloom.llm import components as graph
+from starloom.llm import densified_minhash as mh
+from starloom.llm import multi_index_simhash as sh
+from starloom.llm import queries
+from starloom.llm.texts import shingle_hashes
+
+
+def shingles(text, width):
+    words = word_list(lower(text))
+    return [" ".join(words[i:i + width]) for i in range(max(len(words) - width + 1, 1))] if words else []
+
+
+@pytest.mark.parametrize("width", [1, 4, 5])
+def test_shingle_hashes(width):
+    for _, text, *_ in odd_rows():
+        got = shingle_hashes((text or "").encode().lower().split(), width, 42).tolist()
+        assert got == [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles(text, width)]
+
+
+def test_likeness_follows_the_common_shingles():
+    for share in (0, 0.3, 0.5, 0.8, 0.95, 1):
+        for n in (8, 60, 2000):
+            common = prose(1, int(n * share), 10 ** 6)
+            a, b = f"{common} {prose(2, n - int(n * share), 10 ** 6)}", f"{common} {prose(3, n - int(n * share), 10 ** 6)}"
+            x, y = set(shingles(a, 5)), set(shingles(b, 5))
+            truth = len(x & y) / len(x | y)
+            assert abs(mh.likeness(mh.fingerprint(a.encode()), mh.fingerprint(b.encode())) - truth) < 0.12
+
+
+def test_small_texts_are_told_apart():
+    texts = [f"tiny text {i}".encode() for i in range(40)]
+    codes = [mh.fingerprint(t) for t in texts]
+    assert all(mh.likeness(a, b) < 0.2 for a, b in itertools.combinations(codes, 2))
+    assert mh.likeness(None, None) == 1 and mh.likeness(None, codes[0]) == 0 and mh.fingerprint(b" \n") is None
+
+
+def plain_edits(rows):
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    for (id_, text, *_), (_, following, *_) in zip(order, order[1:] + order[:1]):
+        text, following = text or "", following or ""
+        half = len(text) // 2
+        new = text[: len(text) - half] + following[:half]
+        codes = [mh.fingerprint(t.encode()) for t in (text, new, following)]
+        yield (id_, len(text), hashlib.sha256(new.encode()).hexdigest(), mh.packed(codes[0]), mh.packed(codes[1]),
+               mh.likeness(codes[0], codes[1]), mh.likeness(codes[0], codes[2]))
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_op1(spark, tmp_path, clash):
+    folder = saved(tmp_path, documents=documents(spark, clash=clash))
+    got = rows_of(queries.op1_densified_minhash(spark, folder))
+    # null and empty texts tie: both are empty, in whichever order they come
+    assert got == sorted(plain_edits(odd_rows()), key=repr)
+
+
+def test_op1_without_rows_and_with_one(spark, tmp_path):
+    assert rows_of(queries.op1_densified_minhash(spark, saved(tmp_path / "0", documents=documents(spark, [])))) == []
+    one = [(5, "one two three four five six", "en", "a", 1)]
+    assert rows_of(queries.op1_densified_minhash(spark, saved(tmp_path / "1", documents=documents(spark, one)))) == list(plain_edits(one))
+
+
+def plain_simhash(text):
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles(text, 4)]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_groups(rows):
+    """Indexes of the rows of each component, by comparing all pairs."""
+    marks = [plain_simhash(r[1]) for r in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if (marks[i] ^ marks[j]).bit_count() <= 4:
+            root[find(i)] = find(j)
+    groups = {}
+    for i in range(len(rows)):
+        groups.setdefault(find(i), []).append(i)
+    return marks, list(groups.values())
+
+
+def least_id(rows, group):
+    return min((rows[i][0] for i in group if rows[i][0] is not None), default=None)
+
+
+def plain_components(rows):
+    marks, groups = plain_groups(rows)
+    return sorted(((rows[i][0], f"{marks[i]:016x}", least_id(rows, g)) for g in groups for i in g), key=repr)
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_op7(spark, tmp_path, clash):
+    folder = saved(tmp_path, documents=documents(spark, clash=clash))
+    assert rows_of(queries.op7_multi_index_simhash(spark, folder)) == plain_components(odd_rows())
+
+
+def test_op7_without_rows(spark, tmp_path):
+    assert rows_of(queries.op7_multi_index_simhash(spark, saved(tmp_path, documents=documents(spark, [])))) == []
+
+
+@pytest.mark.parametrize("listed", [1024, 3, 1])
+def test_links_are_exact_in_either_way(spark, listed):
+    """Families of near fingerprints, compared in lists or through their balls, give the same components."""
+    draw = np.random.RandomState(3)
+    values = {0, 1, (1 << 64) - 1, 0b11111}
+    for _ in range(12):
+        centre = int(draw.randint(0, 1 << 32)) << 32 | int(draw.randint(0, 1 << 32))
+        for _ in range(12):
+            flips = draw.permutation(64)[: draw.randint(0, 7)]
+            values.add(centre ^ sum(1 << int(b) for b in flips))
+    values = sorted(values)
+    signed = [(v - (1 << 64) if v >> 63 else v,) for v in values]
+    frame = spark.createDataFrame(signed, "fingerprint bigint")
+    got = {r.node: r.root for r in graph.components(sh.links(frame, listed)).collect()}
+    root = {v: v for (v,) in signed}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for (a,), (b,) in itertools.combinations(signed, 2):
+        if ((a ^ b) & (1 << 64) - 1).bit_count() <= 4:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    assert {v: got.get(v, v) for (v,) in signed} == {v: find(v) for (v,) in signed}
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    chain = [(i, i + 1) for i in range(0, 300)]
+    star = [(1000 + i, 5000) for i in range(300)]
+    frame = spark.createDataFrame(chain + star + [(7, 7)], "a bigint, b bigint")
+    got = {r.node: r.root for r in graph.components(frame).collect()}
+    assert got == {**dict.fromkeys(range(301), 0), **dict.fromkeys([*range(1000, 1300), 5000], 1000)}
+
+
+def test_keep_one_keeps_one_row_of_each_group(spark):
+    docs = documents(spark, clash=True)
+    kept = sh.keep_one(docs)
+    assert kept.columns == docs.columns
+    rows = odd_rows()
+    ids = [r.doc_id for r in kept.select("doc_id").collect()]
+    assert sorted(ids, key=repr) == sorted((least_id(rows, g) for g in plain_groups(rows)[1]), key=repr)
+    assert sh.keep_one(documents(spark, [])).count() == 0
