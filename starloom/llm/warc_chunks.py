@@ -76,13 +76,10 @@ class _Archive:
             self.name, self.size, self.records = f"{self.root}/{uuid.uuid4().hex}.warc.gz", 0, 0
             self.out = self.files.open_output_stream(self.name, compression=None)
         press = zlib.compressobj(6, zlib.DEFLATED, _GZIP)
-        parts = [press.compress(head)]
+        self._write(press.compress(head))
         for i in range(0, len(payload), BLOCK):
-            parts.append(press.compress(payload[i:i + BLOCK]))
-            self._write(parts.pop())
-        parts += [press.compress(b"\r\n\r\n"), press.flush()]
-        for part in parts:
-            self._write(part)
+            self._write(press.compress(payload[i:i + BLOCK]))
+        self._write(press.compress(b"\r\n\r\n") + press.flush())
         self.records += 1
         if self.size >= FILE_BYTES:
             self.close()
