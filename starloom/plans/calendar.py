@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.functions import UNKNOWN_KEY
 from starloom.operators.keys import with_unknown
 
 # Default range and the labels of the unknown day.
@@ -46,6 +48,22 @@ def describe_days(days: DataFrame) -> DataFrame:
     return days.selectExpr(*[f"{e} as {name}" for name, e in CALENDAR_COLUMNS.items()])
 
 
+def with_day_attributes(df: DataFrame, key: str, wanted: Mapping[str, str]) -> DataFrame:
+    """Calendar columns of a date key, worked out from the key itself: no day can be missing.
+
+    `wanted` maps new names to calendar columns. The unknown key gets the labels of the unknown day.
+    """
+    k = F.col(key)
+    day = F.make_date((k / 10000).cast("int"), (k / 100 % 100).cast("int"), (k % 100).cast("int"))
+    dated = df.withColumn("_day", F.when(k > 0, day))
+    new = {
+        out: F.when(k == UNKNOWN_KEY, F.lit(UNKNOWN_DAY.get(name))).otherwise(
+            F.expr(CALENDAR_COLUMNS[name].replace("full_date", "_day")))
+        for out, name in wanted.items()
+    }
+    return dated.withColumns(new).drop("_day")
+
+
 def calendar(spark: SparkSession, first: date = DEFAULT_FIRST, last: date = DEFAULT_LAST) -> DataFrame:
     """One row per day from first to last, both included."""
     if last < first:

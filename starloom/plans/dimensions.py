@@ -103,15 +103,20 @@ VERSIONED = [CUSTOMER, PRODUCT, EMPLOYEE]
 
 
 def with_hash(source: DataFrame, tracked: Sequence[str]) -> DataFrame:
-    present = set(source.columns)
-    return source.withColumn("row_hash", scd_hash(*[c for c in tracked if c in present]))
+    """The fingerprint over every tracked column. A missing one would change every fingerprint, so it is an error."""
+    missing = [c for c in tracked if c not in source.columns]
+    if missing:
+        raise ValueError(f"tracked columns missing from the source: {', '.join(missing)}")
+    return source.withColumn("row_hash", scd_hash(*tracked))
 
 
 def customer_source(customers: DataFrame) -> DataFrame:
     return with_hash(customers, CUSTOMER.tracked)
 
 
-def product_source(products: DataFrame, categories: DataFrame, suppliers: DataFrame) -> DataFrame:
+def product_source(
+    products: DataFrame, categories: DataFrame, suppliers: DataFrame, fingerprint: bool = True
+) -> DataFrame:
     """Products with category and supplier collapsed in; a missing parent reads 'Unknown'.
 
     Both parents are joined on their declared key. How they are joined is left to the optimiser,
@@ -132,14 +137,14 @@ def product_source(products: DataFrame, categories: DataFrame, suppliers: DataFr
             "supplier_name": F.coalesce("_supplier", F.lit("Unknown")),
         }
     ).drop("_category", "_supplier")
-    return with_hash(joined, PRODUCT.tracked)
+    return with_hash(joined, PRODUCT.tracked) if fingerprint else joined
 
 
 def full_name(prefix: str = "") -> Column:
     return F.concat(F.col(f"{prefix}first_name"), F.lit(" "), F.col(f"{prefix}last_name"))
 
 
-def employee_source(employees: DataFrame) -> DataFrame:
+def employee_source(employees: DataFrame, fingerprint: bool = True) -> DataFrame:
     """Employees with the manager's name and an is-manager flag.
 
     The flag is not part of the fingerprint: gaining a report opens no new version.
@@ -157,7 +162,7 @@ def employee_source(employees: DataFrame) -> DataFrame:
     )
     dates = {c: F.col(c).cast("date") for c in ("birth_date", "hire_date") if c in joined.columns}
     # The fingerprint takes the dates as landed (with time of day), like every other attribute.
-    return with_hash(joined, EMPLOYEE.tracked).withColumns(dates)
+    return (with_hash(joined, EMPLOYEE.tracked) if fingerprint else joined).withColumns(dates)
 
 
 def managers(employees: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from starloom.functions import AMOUNT, OPEN_END, UNKNOWN_KEY, instant, mean_money, percent
 from starloom.operators.windows import by_month, version_numbers
 from starloom.plans import dimensions, facts
+from starloom.plans.calendar import with_day_attributes
 from starloom.plans.facts import Lookup
 
 # Business columns of `sales` by the dimension they come from.
@@ -83,9 +84,8 @@ def dim_required_date(calendar: DataFrame) -> DataFrame:
 
 
 def _date_role(df: DataFrame, calendar: DataFrame, key: str, wanted: Mapping[str, str]) -> DataFrame:
-    # A calendar has one row per day of a declared range, so its size does not follow the facts.
     day = calendar.select(F.col("date_key").alias("_day"), *[F.col(c).alias(out) for out, c in wanted.items()])
-    return df.drop(*wanted).join(F.broadcast(day), F.col(key) == F.col("_day"), "left").drop("_day")
+    return df.drop(*wanted).join(day, F.col(key) == F.col("_day"), "left").drop("_day")
 
 
 def _wanted(spec: Mapping, columns: Sequence[str]) -> dict:
@@ -145,16 +145,16 @@ def sales_from_staging(
         df = facts.resolve(
             df, dims, Lookup("_line_product_id", base.dimension, base.natural, base.surrogate, wanted)
         )
-    df = df.join(header, "order_id")
-    df = _with_dates(df, dims["dim_date"], columns)
+    df = _with_dates(df.join(header, "order_id"), None, columns)
     return df.select(*_projection(columns))
 
 
-def _with_dates(df: DataFrame, calendar: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _with_dates(df: DataFrame, calendar: DataFrame | None, columns: Sequence[str]) -> DataFrame:
+    """Attributes of both dates, from a stored calendar or, without one, worked out from the keys."""
     for key, spec in (("order_date_key", ORDER_DATE_COLUMNS), ("shipped_date_key", SHIPPED_DATE_COLUMNS)):
         wanted = _wanted(spec, columns)
         if wanted:
-            df = _date_role(df, calendar, key, wanted)
+            df = with_day_attributes(df.drop(*wanted), key, wanted) if calendar is None else _date_role(df, calendar, key, wanted)
     return df
 
 
@@ -236,13 +236,13 @@ def employee_performance(lines: DataFrame) -> DataFrame:
 
 
 def order_fulfilment_performance(
-    fact: DataFrame, calendar: DataFrame, shippers: DataFrame, customers: DataFrame
+    fact: DataFrame, calendar: DataFrame | None, shippers: DataFrame, customers: DataFrame
 ) -> DataFrame:
-    """Delivery performance and freight by year, quarter, shipper and customer country."""
-    day = calendar.select(
-        F.col("date_key").alias("order_date_key"), F.col("year_number").alias("order_year"),
-        F.col("quarter_name").alias("order_quarter"),
-    )
+    """Delivery performance and freight by year, quarter, shipper and customer country.
+
+    No order is left out: one on a day that a stored calendar lacks counts without year and quarter;
+    without a calendar both are worked out from the date key.
+    """
     # Orders collapse to (day, shipper, customer) before they meet the customer dimension.
     measures = fact.groupBy("order_date_key", "shipper_key", "customer_key").agg(
         F.count(F.lit(1)).alias("orders"),
@@ -252,7 +252,7 @@ def order_fulfilment_performance(
         F.sum("freight_amount").alias("freight"),
     )
     named = (
-        measures.join(F.broadcast(day), "order_date_key")
+        _with_dates(measures, calendar, ["order_year", "order_quarter"])
         .join(shippers.select("shipper_key", F.col("company_name").alias("shipper")), "shipper_key")
         .join(customers.select("customer_key", F.col("country").alias("customer_country")), "customer_key")
     )

@@ -66,7 +66,7 @@ class DeclaredStar:
             dim_customer=lambda: src.customers.withColumn("customer_key", F.col("customer_id") + 1),
             dim_product=lambda: src.products.withColumns(
                 {"product_key": F.col("product_id") + 1, "supplier_country": F.lit(None).cast("string")}),
-            dim_employee=lambda: dimensions.employee_source(src.employees).withColumn(
+            dim_employee=lambda: dimensions.employee_source(src.employees, fingerprint=False).withColumn(
                 "employee_key", F.col("employee_id") + 1),
             dim_shipper=lambda: src.shippers.withColumn("shipper_key", F.col("shipper_id")),
         )

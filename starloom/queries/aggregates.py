@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from starloom.functions import AMOUNT, mean_money
 from starloom.plans import training
 from starloom.queries.base import query, roles, sql_mean
-from starloom.queries.joins import FINISHED_1997, finished_1997
 
 
 @query("agg_global", roles("ord") + """
@@ -47,11 +46,11 @@ def agg_having(s):
 @query("customer_order_counts", roles("cust", "ord") + f"""
 select c.customer_id, c.company_name, count(o.order_id) as orders,
        coalesce(strftime(min(o.order_date), '%Y-%m-%d %H:%M:%S'), 'No orders') as first_order
-from cust c left join (select * from ord where {FINISHED_1997}) o on o.customer_id = c.customer_id
+from cust c left join ord o on o.customer_id = c.customer_id
 group by 1, 2""")
 def customer_order_counts(s):
     # Orders are counted per customer first: the join then has one row per customer on each side.
-    per_customer = finished_1997(s).groupBy("customer_id").agg(
+    per_customer = s.src.orders.groupBy("customer_id").agg(
         F.count("order_id").alias("orders"), F.min("order_date").alias("first"))
     return s.src.customers.select("customer_id", "company_name").join(per_customer, "customer_id", "left").select(
         "customer_id", "company_name", F.coalesce("orders", F.lit(0)).alias("orders"),
@@ -119,13 +118,13 @@ def string_agg_ordered(s):
 
 @query("entity_days", roles("item", "cust", "ord") + f"""
 select c.customer_id, count(i.order_id) as number_lines, cast(coalesce(sum(i.quantity), 0) as bigint) as number_units
-from cust c left join (select * from ord where {FINISHED_1997}) o on o.customer_id = c.customer_id
+from cust c left join ord o on o.customer_id = c.customer_id
 left join item i on i.order_id = o.order_id group by 1""")
 def entity_days(s):
     # Lines are summed to their order before the join, so a long order arrives as one row.
     per_order = s.src.line_items.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("units"))
-    attended = finished_1997(s).select("order_id", "customer_id").join(per_order, "order_id")
+    attended = s.src.orders.select("order_id", "customer_id").join(per_order, "order_id")
     return training.entity_totals(
         s.src.customers.select("customer_id"), attended, "customer_id", "n", "units",
         "number_lines", "number_units")

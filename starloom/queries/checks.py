@@ -103,9 +103,9 @@ def _suite_sql(checks, actual: dict[str, str], expected: dict[str, str] | None =
     expected = expected or {}
     rows = [
         f"select '{k.check_id}' as check_id, '{k.category}' as category, '{k.severity}' as severity, "
-        f"cast(({expected.get(k.check_id) or repr(k.expected)}) as varchar) as expected, "
-        f"cast(({actual[k.check_id]}) as varchar) as actual"
-        for k in checks if k.check_id in actual
+        f"cast(({expected.get(k.check_id) or ('null' if k.expected is None else repr(k.expected))}) as varchar) as expected, "
+        f"cast(({actual.get(k.check_id, 'null')}) as varchar) as actual"
+        for k in checks
     ]
     return "checks as (" + " union all ".join(rows) + ")"
 
@@ -166,11 +166,13 @@ QUALITY_EXPECTED_SQL = {
     "REC-010": _total("fl", "net_amount"), "REC-011": "select count(*) from fl",
 }
 
-_RESULT = "select *, case when expected is not distinct from actual then 'PASS' else 'FAIL' end as status from checks"
-_SUMMARY = """select category, count(*) as checks, count(*) filter (where status = 'PASS') as passed,
-count(*) filter (where status = 'FAIL' and severity = 'ERROR') as failed_error,
-count(*) filter (where status = 'FAIL' and severity = 'WARN') as failed_warn
-from (""" + _RESULT + ") group by rollup (category)"
+_RESULT = """select c.*, s.status from checks c join (values ('NOT RUN', 0), ('PASS', 1), ('FAIL', 2)) as s(status, code)
+on s.code = if(c.actual is null, 0, if(coalesce(c.expected, '') = c.actual, 1, 2))"""
+_PER_CHECK = "select category, severity = 'ERROR' as stops, cast(status = 'PASS' as int) as good from (" + _RESULT + ")"
+_SUMMED = """count(*) as n_checks, cast(sum(good) as bigint) as n_passed,
+cast(sum(if(stops, 1 - good, 0)) as bigint) as n_open_errors, cast(sum(if(stops, 0, 1 - good)) as bigint) as n_open_warnings"""
+_SUMMARY = f"""select category, {_SUMMED} from ({_PER_CHECK}) group by category
+union all select null, {_SUMMED} from ({_PER_CHECK})"""
 
 
 def _suite(checks, actual, expected, tail):

@@ -2,25 +2,21 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starloom.functions import AMOUNT, in_days
+from starloom.functions import AMOUNT
 from starloom.operators.joins import anti, as_at, full_outer, left_outer, semi
 from starloom.operators.windows import by_month, next_value, overlap_pairs
 from starloom.plans import dimensions, marts
 from starloom.queries.base import query, roles
 
-FINISHED_1997 = "order_status = 'F' and order_date >= timestamp '1997-01-01' and order_date < timestamp '1998-01-01'"
 ORDER_STATUSES = ["F", "O", "P"]
 
 
-def finished_1997(s):
-    """Finished orders of one year: some customers have none, which the outer joins need."""
-    return s.src.orders.filter(
-        (F.col("order_status") == "F") & in_days("order_date", date(1997, 1, 1), date(1998, 1, 1)))
+def lines(s):
+    """Lines under another name of their order: some orders have none, which the outer joins need."""
+    return s.src.line_items.select(F.col("order_id").alias("line_order"), "product_id", "quantity")
 
 
 @query("join_inner", roles("cust", "ord") + """
@@ -66,31 +62,24 @@ def uk_orders_by_category(s):
     return lines.join(goods, "product_id").join(header, "order_id").orderBy("company_name", "order_date")
 
 
-@query("join_left", roles("cust", "ord") + f"""
-select c.customer_id, c.company_name, o.order_id, o.order_date
-from cust c left join (select * from ord where {FINISHED_1997}) o on o.customer_id = c.customer_id""")
+@query("join_left", roles("ord", "item") + """
+select o.order_id, o.order_date, i.product_id, i.quantity from ord o left join item i on i.order_id = o.order_id""")
 def join_left(s):
-    orders = finished_1997(s).select("order_id", "order_date", F.col("customer_id").alias("buyer"))
-    return left_outer(
-        s.src.customers.select("customer_id", "company_name"), orders, "customer_id", "buyer").drop("buyer")
+    return left_outer(s.src.orders.select("order_id", "order_date"), lines(s), "order_id", "line_order").drop("line_order")
 
 
-@query("join_right", roles("cust", "ord") + f"""
-select o.order_id, o.order_date, c.customer_id, c.contact_title
-from (select * from ord where {FINISHED_1997}) o right join cust c on o.customer_id = c.customer_id""")
+@query("join_right", roles("ord", "item") + """
+select i.product_id, i.quantity, o.order_id, o.customer_id from item i right join ord o on i.order_id = o.order_id""")
 def join_right(s):
-    orders = finished_1997(s).select("order_id", "order_date", F.col("customer_id").alias("buyer"))
-    return left_outer(
-        s.src.customers.select("customer_id", "contact_title"), orders, "customer_id", "buyer").drop("buyer")
+    return left_outer(s.src.orders.select("order_id", "customer_id"), lines(s), "order_id", "line_order").drop("line_order")
 
 
-@query("join_full", roles("cust", "ord") + f"""
+@query("join_full", roles("cust", "ord") + """
 select c.customer_id, c.company_name, o.order_id, o.customer_id as buyer
-from (select * from cust where balance >= 0) c
-full join (select * from ord where {FINISHED_1997}) o on o.customer_id = c.customer_id""")
+from (select * from cust where balance >= 0) c full join ord o on o.customer_id = c.customer_id""")
 def join_full(s):
     in_credit = s.src.customers.filter(F.col("balance") >= 0).select("customer_id", "company_name")
-    orders = finished_1997(s).select("order_id", F.col("customer_id").alias("buyer"))
+    orders = s.src.orders.select("order_id", F.col("customer_id").alias("buyer"))
     return full_outer(in_credit, orders, "customer_id", "buyer")
 
 
@@ -120,18 +109,16 @@ def self_join(s):
     return staff.join(boss, F.col("reports_to") == F.col("manager_id"), "left").drop("reports_to")
 
 
-@query("join_semi", roles("cust", "ord") + f"""
-select customer_id, company_name from cust c
-where exists (select 1 from ord o where o.customer_id = c.customer_id and {FINISHED_1997})""")
+@query("join_semi", roles("ord", "item") + """
+select order_id, customer_id from ord o where exists (select 1 from item i where i.order_id = o.order_id)""")
 def join_semi(s):
-    return semi(s.src.customers.select("customer_id", "company_name"), "customer_id", finished_1997(s), "customer_id")
+    return semi(s.src.orders.select("order_id", "customer_id"), "order_id", lines(s), "line_order")
 
 
-@query("join_anti", roles("cust", "ord") + f"""
-select customer_id, company_name from cust c
-where not exists (select 1 from ord o where o.customer_id = c.customer_id and {FINISHED_1997})""")
+@query("join_anti", roles("ord", "item") + """
+select order_id, customer_id from ord o where not exists (select 1 from item i where i.order_id = o.order_id)""")
 def join_anti(s):
-    return anti(s.src.customers.select("customer_id", "company_name"), "customer_id", finished_1997(s), "customer_id")
+    return anti(s.src.orders.select("order_id", "customer_id"), "order_id", lines(s), "line_order")
 
 
 # --- versions -----------------------------------------------------------------------------------------

@@ -4,18 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starloom.functions import instant
 from starloom.queries.base import query, roles
 from starloom.queries.warehouse_marts import _DIRECTORY, directory
 
-_SOLD_SQL = """, sold as (select distinct product_id from item where shipped < timestamp '1996-01-01'),
+_SOLD_SQL = """, sold as (select distinct product_id from item),
 off as (select product_id from prod where discontinued) """
 
 
-def sold_early(s):
-    """Products shipped before 1996, once each: duplicates go before the rows are shuffled."""
-    return s.raw("lineitem").filter(F.col("l_shipdate") < instant("1996-01-01 00:00:00")).select(
-        F.col("l_partkey").alias("product_id")).distinct()
+def sold(s):
+    """Products with a line, once each: duplicates go before the rows are shuffled."""
+    return s.raw("lineitem").select(F.col("l_partkey").alias("product_id")).distinct()
 
 
 def discontinued(s):
@@ -33,13 +31,13 @@ def union_distinct(s):
 
 @query("set_intersect", roles("item", "prod") + _SOLD_SQL + "select * from off intersect select * from sold")
 def set_intersect(s):
-    return discontinued(s).intersect(sold_early(s))
+    return discontinued(s).intersect(sold(s))
 
 
 @query("set_except", roles("item", "prod") + _SOLD_SQL + """
-select product_id, 'discontinued, not sold early' as direction from (select * from off except select * from sold)
-union all select product_id, 'sold early, not discontinued' from (select * from sold except select * from off)""")
+select product_id, 'discontinued, never sold' as direction from (select * from off except select * from sold)
+union all select product_id, 'sold, not discontinued' from (select * from sold except select * from off)""")
 def set_except(s):
-    off, sold = discontinued(s), sold_early(s)
-    return off.subtract(sold).withColumn("direction", F.lit("discontinued, not sold early")).unionByName(
-        sold.subtract(off).withColumn("direction", F.lit("sold early, not discontinued")))
+    off, had_lines = discontinued(s), sold(s)
+    return off.subtract(had_lines).withColumn("direction", F.lit("discontinued, never sold")).unionByName(
+        had_lines.subtract(off).withColumn("direction", F.lit("sold, not discontinued")))

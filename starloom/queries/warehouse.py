@@ -185,7 +185,9 @@ select product_id, category_name, category_description, supplier_name, supplier_
     coalesce(supplier_country, '~NULL~'))) as row_hash from j""")
 def product_source(s):
     goods = s.src.products.withColumnRenamed("category_name", "category_id").drop("supplier_name")
-    return dimensions.product_source(goods, s.src.categories, s.src.suppliers).select(
+    joined = dimensions.product_source(goods, s.src.categories, s.src.suppliers, fingerprint=False)
+    attributes = [c for c in dimensions.PRODUCT.tracked if c in joined.columns]  # those the given tables have
+    return joined.withColumn("row_hash", scd_hash(*attributes)).select(
         "product_id", "category_name", "category_description", "supplier_name", "supplier_country", "row_hash")
 
 
@@ -195,7 +197,7 @@ select e.employee_id, e.first_name || ' ' || e.last_name as full_name, e.reports
   exists (select 1 from emp r where r.reports_to = e.employee_id) as is_manager
 from emp e left join emp m on m.employee_id = e.reports_to""")
 def hierarchy_flatten(s):
-    return dimensions.employee_source(s.src.employees).select(
+    return dimensions.employee_source(s.src.employees, fingerprint=False).select(
         "employee_id", "full_name", "manager_employee_id", "manager_name", "is_manager")
 
 

@@ -14,6 +14,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.session.timeZone": "UTC",  # zone-less instants mean UTC, also where Spark truncates them
 }
 
 _OWN: dict[str, str] = {}
