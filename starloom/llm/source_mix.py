@@ -118,7 +118,8 @@ def slots(goal: DataFrame) -> DataFrame:
     rows = rows.withColumn("all_slots", F.sum("takes").over(everything)).filter("takes > 0")
     # a large source becomes many rows before its takes are listed, and those rows are dealt out
     chunks = rows.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(takes - 1) div {CHUNK}"))))
-    chunks = chunks.repartition("src", "chunk")
+    tasks = int(goal.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks.repartition(tasks, "src", "chunk")  # a stated number: few bytes here become many rows
     last = F.least((F.col("chunk") + 1) * CHUNK, F.col("takes")) - 1
     takes = chunks.withColumn("take", F.explode(F.sequence(F.col("chunk") * CHUNK, last)))
     takes = takes.withColumn("nth", F.col("take") - F.col("rounds") * F.col("per_round"))
@@ -144,7 +145,8 @@ def _met(rows: DataFrame, taken: DataFrame) -> DataFrame:
         F.sum(F.col("words").isNull().cast("bigint")).alias("full"), F.coalesce(F.max("words"), F.lit(0)).alias("part")
     )
     touched = F.sequence(F.expr(f"start div {BLOCK}"), F.expr(f"(start + size - 1) div {BLOCK}"))
-    met = rows.withColumn("block", F.explode(touched)).join(uses, ["src", "block"], "left")
+    # the planner cannot see that the blocks' uses, exploded from a row per source, are a large table
+    met = rows.withColumn("block", F.explode(touched)).join(uses.hint("merge"), ["src", "block"], "left")
     first, end = F.col("block") * BLOCK, F.col("start") + F.col("size")
     return met.withColumns({
         "low": F.greatest("start", first), "high": F.least(end, first + BLOCK), "full": F.coalesce("full", F.lit(0)),
