@@ -8,6 +8,7 @@ from starloom.queries import (  # noqa: F401
     projections,
     scalars,
     sets,
+    stored,
     warehouse,
     warehouse_marts,
 )
