@@ -1,0 +1,84 @@
+"""Days outside the default calendar, checks that nothing measured, and missing columns."""
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from starloom.plans import dimensions, marts, quality
+from starloom.plans.calendar import CALENDAR_COLUMNS, calendar, dim_date, with_day_attributes
+from starloom.plans.star import DeclaredStar
+from starloom.session import prepare
+from starloom.sources.store import WarehouseStore
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def moved(spark, tmp_path_factory):
+    """The given tables with a tenth of the orders in 1990 and another tenth in 2012."""
+    folder = str(tmp_path_factory.mktemp("moved"))
+    for name in ("region", "nation", "customer", "supplier", "part", "lineitem"):
+        spark.read.parquet(f"{FOLDER}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    tenth = F.col("o_orderkey") % 10
+    day = F.when(tenth == 0, F.lit(datetime(1990, 5, 5))).when(tenth == 1, F.lit(datetime(2012, 6, 6))).otherwise(F.col("o_orderdate"))
+    orders = spark.read.parquet(f"{FOLDER}/orders.parquet")
+    orders.withColumn("o_orderdate", day.cast(orders.schema["o_orderdate"].dataType)).write.parquet(f"{folder}/orders.parquet")
+    return DeclaredStar(prepare(spark), folder)
+
+
+def test_no_order_is_lost(moved):
+    orders = moved.raw("orders").count()
+    mart = marts.order_fulfilment_performance(moved.fact_orders, None, moved.dims["dim_shipper"], moved.dims["dim_customer"])
+    assert mart.agg(F.sum("orders")).first()[0] == orders
+    assert {1990, 2012} <= {r.order_year for r in mart.select("order_year").distinct().collect()}
+    years = marts.sales_by_category_year(moved.sales_lines(marts.CATEGORY_YEAR_NEEDS))
+    assert years.filter("order_year is null").count() == 0 and years.filter("order_year in (1990, 2012)").count() > 0
+
+
+def test_day_attributes_equal_the_calendar(spark):
+    days = dim_date(calendar(spark, date(1999, 12, 1), date(2001, 1, 10)))
+    wanted = {f"new_{c}": c for c in CALENDAR_COLUMNS if c != "date_key"}
+    both = with_day_attributes(days, "date_key", wanted)
+    assert both.count() > 400
+    for new, old in wanted.items():
+        assert both.filter(~F.col(new).eqNullSafe(F.col(old))).count() == 0, old
+
+
+def test_a_check_that_did_not_run_stops_the_gate(spark):
+    checks = [quality.Check("A", "x", quality.ERROR, "measured"), quality.Check("B", "x", quality.ERROR, "not measured")]
+    measures = [spark.createDataFrame([("A", "actual", None, 0)], "check_id string, side string, text string, number bigint")]
+    results = quality.evaluate(checks, measures)
+    assert {r.check_id: r.status for r in results.collect()} == {"A": "PASS", "B": "NOT RUN"}
+    with pytest.raises(quality.QualityGateError, match="B .*NOT RUN"):
+        quality.gate(results)
+
+
+def test_a_missing_tracked_column_is_an_error(spark):
+    with pytest.raises(ValueError, match="phone"):
+        dimensions.with_hash(spark.range(1).withColumn("name", F.lit("a")), ["name", "phone"])
+
+
+def test_error_texts_stay_whole(spark, tmp_path):
+    store = WarehouseStore(spark, str(tmp_path))
+    opened = store.open_batch("a", "b")
+    store.close_batch(opened, "FAILED", error="x" * 5000)
+    assert len(store.batches().first().error_message) == 5000
+
+
+def test_an_unreadable_log_is_not_an_empty_store(spark, tmp_path):
+    store = WarehouseStore(spark, str(tmp_path))
+    assert store.batches().count() == 0
+    (tmp_path / "etl" / "load_batch").mkdir(parents=True)
+    (tmp_path / "etl" / "load_batch" / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        store.batches().collect()
+
+
+def test_hours_do_not_depend_on_the_session_zone(spark):
+    from starloom.queries import REGISTRY
+
+    wanted = sorted(map(tuple, REGISTRY["date_functions"](spark, FOLDER).collect()))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    assert sorted(map(tuple, REGISTRY["date_functions"](spark, FOLDER).collect())) == wanted
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
