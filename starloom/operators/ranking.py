@@ -21,9 +21,8 @@ def top_n_with_ties(df: DataFrame, n: int, column: str) -> DataFrame:
     number of ties is returned without ranking the whole table.
     """
     best = df.select(column).orderBy(F.col(column).desc_nulls_last()).limit(n)
-    cutoff = best.agg(F.min(column)).scalar()
-    reaches_nulls = best.agg(F.count_if(F.col(column).isNull()) > 0).scalar()
-    return df.filter((F.col(column) >= cutoff) | reaches_nulls)
+    last = best.agg(F.struct(F.min(column).alias("value"), (F.count_if(F.col(column).isNull()) > 0).alias("nulls"))).scalar()
+    return df.filter((F.col(column) >= last["value"]) | last["nulls"])
 
 
 def top_percent(df: DataFrame, percent: float, order: Sequence[Column | str]) -> DataFrame:

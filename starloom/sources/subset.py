@@ -27,7 +27,8 @@ def busiest_customers(orders: DataFrame, n: int) -> DataFrame:
 def with_managers(employees: DataFrame, ids: DataFrame) -> DataFrame:
     """Ids closed over the reporting line. One round per level of the hierarchy.
 
-    Each round joins the managers of the last level, written out so that rounds do not nest.
+    Each round joins the managers of the last level. A level is written once; together they are the
+    known ids.
     """
     lines = employees.select("employee_id", "reports_to")
     known = materialise(ids.select(F.col("employee_id")).distinct())
@@ -39,7 +40,7 @@ def with_managers(employees: DataFrame, ids: DataFrame) -> DataFrame:
         level = materialise(above)
         if level.isEmpty():
             return known
-        known = materialise(known.unionByName(level))
+        known = known.unionByName(level)
 
 
 def orders_and_lines(tables: Mapping[str, DataFrame], year: int, n: int) -> dict[str, DataFrame]:
