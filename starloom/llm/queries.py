@@ -38,7 +38,7 @@ def op2_skip_chain_crf(spark: SparkSession, folder: str) -> DataFrame:
 def op3_warc_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return warc_chunks.round_trip(table(spark, folder, "pages")).select(
         "page_id", F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type",
-        "refers_to", "record_id", "intact",
+        "refers_to", "intact",
     )
 
 
@@ -86,4 +86,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_licence_paragraphs,
     )
 }
-SQL: dict[str, str] = {"op9_threshold_rules": threshold_rules.sql()}
+SQL: dict[str, str] = {"op3_warc_chunks": warc_chunks.sql(), "op9_threshold_rules": threshold_rules.sql()}

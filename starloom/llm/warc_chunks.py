@@ -244,3 +244,17 @@ def round_trip(pages: DataFrame) -> DataFrame:
     manifest = write(pages, folder)
     read = chunks(manifest, payloads=False).filter("last")
     return read.withColumn("intact", F.col("digest") == F.col("stated_digest"))
+
+
+def sql(table: str = "pages") -> str:
+    """What the round trip must give, as DuckDB SQL over the pages."""
+    return f"""
+    with payloads as (
+        select page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from {table}
+    ), firsts as (
+        select payload_digest, min(page_id) as first from payloads where payload_bytes >= {REVISIT_BYTES} group by 1
+    )
+    select page_id, cast(payload_bytes as bigint) as payload_bytes, p.payload_digest,
+           if(first is null or first is not distinct from page_id, 'response', 'revisit') as record_type,
+           if(first is distinct from page_id, first, null) as refers_to, true as intact
+    from payloads p left join firsts f on f.payload_digest = p.payload_digest"""
