@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.texts import pieces, remainder, utf8
-from starloom.session import materialise, prepare
+from starloom.session import prepare
 
 HASH_BITS = 17
 PAIRS = 256
@@ -157,9 +157,13 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -30, 30)))
 
 
-def train(rows: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on rows (id, text, label 0 or 1). Without rows of both classes every score is 0.5 or the only label."""
-    counts, totals = class_counts(rows)
+def train(docs: DataFrame, known: DataFrame, sample: int = SAMPLE) -> Model:
+    """Fit on the rows of `docs` (id, text) with labels 0 or 1 in `known` (id, label).
+
+    The texts are shuffled once, for the counts over all labelled rows; the sample's ids go to the
+    texts. Without rows of both classes every score is 0.5 or that of the only label.
+    """
+    counts, totals = class_counts(docs.join(known.hint("merge"), "id"))
     if not totals.all():
         sure = 0.0 if not totals.any() else 30.0 if totals[1] else -30.0
         return Model(np.zeros(SIZE), np.zeros(SIZE), 0.0, 1.0, sure)
@@ -171,12 +175,9 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> Model:
             found = [f.tobytes() for f in _present(utf8(batch.column("text")))]
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(found, pa.binary())], ["label", "grams"])
 
-    narrow = rows.select("id", "label").withColumn("order", F.xxhash64("id"))
-    chosen = None
-    for label in (0, 1):
-        some = narrow.filter(F.col("label") == label).orderBy("order", "id").limit(sample).select("id").distinct()
-        chosen = some if chosen is None else chosen.unionByName(some)
-    picked = rows.join(F.broadcast(chosen.distinct()), "id").select("text", "label").mapInArrow(run, "label int, grams binary")
+    least = [known.filter(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(sample) for k in (0, 1)]
+    chosen = least[0].unionByName(least[1])
+    picked = docs.join(F.broadcast(chosen), "id").select("text", "label").mapInArrow(run, "label int, grams binary")
     found = sorted(picked.collect(), key=lambda r: (bytes(r.grams), r.label))
     labels = np.array([r.label for r in found])
     grams = [np.frombuffer(r.grams, np.int32) for r in found]
@@ -202,15 +203,14 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(ratio, w, bias, slope, float(shift))
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Training rows (id, text, label): labels of 0 or 1 outside the held-out remainder, with their texts.
+def training_labels(labels: DataFrame) -> DataFrame:
+    """(id, label): labels of 0 or 1 outside the held-out remainder.
 
     A row without an id, or a label without a document, is no training row; a document that is
     labelled twice counts twice.
     """
     known = labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("label"))
-    known = known.filter("id is not null and label in (0, 1)").filter(remainder("id", 4) != 2)
-    return docs.select(F.col("doc_id").alias("id"), "text").join(known, "id")
+    return known.filter("id is not null and label in (0, 1)").filter(remainder("id", 4) != 2)
 
 
 def scored(docs: DataFrame, model: Model, carry: list[str], text: str = "text") -> DataFrame:
@@ -232,6 +232,6 @@ def scored(docs: DataFrame, model: Model, carry: list[str], text: str = "text")
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted per row of `docs`, learnt from the rows that are not held out."""
     prepare(docs.sparkSession)
-    rows = materialise(labelled(docs, labels))
-    return scored(docs, train(rows), ["doc_id"]).select(
+    model = train(docs.select(F.col("doc_id").alias("id"), "text"), training_labels(labels))
+    return scored(docs, model, ["doc_id"]).select(
         "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
