@@ -19,7 +19,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.components import components
@@ -106,6 +106,8 @@ def links(distinct: DataFrame, listed: int = LISTED) -> DataFrame:
     steps of at most four bits.
     """
     fp = F.col("fingerprint")
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = distinct.repartition(tasks, "fingerprint")  # few bytes here become many rows
     high, low = F.shiftrightunsigned(fp, 32), fp.bitwiseAND(F.lit(0xFFFFFFFF))
     entries = distinct.select(
         fp, F.explode(F.concat(_ball(high, 32, 1), F.transform(_ball(low, 32, 1), lambda v: -v - 1))).alias("key")
@@ -142,7 +144,8 @@ def near_duplicates(docs: DataFrame, rank: list[str], text: str = "text", width:
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
     moved = linked.join(least, "root").select("fingerprint", "least")
     known = distinct.join(moved, "fingerprint", "left").select("fingerprint", F.coalesce("least", "first").alias("first"))
-    return marked.join(known, "fingerprint")
+    # written, so that both sides of the last join are plain shuffles and a hot fingerprint is split
+    return marked.join(materialise(known), "fingerprint")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -157,8 +160,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     chosen = groups.select("first.id", "first.row_key").distinct()
     chosen = chosen.select(F.coalesce("id", F.lit(0)).alias("__id"), F.col("row_key").alias("__row"))
     keyed = docs.withColumns({"__id": F.coalesce(id_col, F.lit(0)), "__row": key})
-    from pyspark.sql import Window
-
     copies = F.row_number().over(Window.partitionBy("__id", "__row").orderBy("__id"))
     kept = keyed.join(chosen, ["__id", "__row"], "left_semi").withColumn("__copy", copies).filter("__copy = 1")
     return kept.select(docs.columns)
