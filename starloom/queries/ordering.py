@@ -33,6 +33,13 @@ def limit_any(s):
     return s.src.customers.filter(F.col("fax").isNull()).select("customer_id", "company_name", "phone", "fax").limit(10)
 
 
+@query("limit_any_counts", roles("cust") + """
+select least(10, count(*)) as row_count, least(10, count(*)) as without_fax from cust where fax is null""")
+def limit_any_counts(s):
+    """How many rows the free choice has, and that all of them fit: the part of it that is defined."""
+    return limit_any(s).agg(F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("fax").isNull()).alias("without_fax"))
+
+
 @query("top_n_with_ties", roles("prod") + """
 select product_id, product_name, unit_price from prod qualify rank() over (order by unit_price desc) <= 15""")
 def top_n_with_ties(s):
