@@ -212,6 +212,22 @@ def learn(texts: DataFrame) -> tuple[DataFrame, Trie, int]:
     return words, Trie(nodes), int(facts.texts or 0)
 
 
+def most_frequent(words: DataFrame, most: int) -> dict[bytes, int]:
+    """The words from some count on, at most `most` of them, and their counts.
+
+    The count is found among steps of 4 % by a histogram of at most some thousand rows, so that the
+    driver gets no more than the words chosen.
+    """
+    step = F.floor(F.log2(F.col("c").cast("double")) * 16)
+    sizes = words.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("step")).collect()
+    ends = np.cumsum([r.n for r in sizes])
+    chosen = [r.step for r, end in zip(sizes, ends) if end <= most]
+    if not chosen:
+        return {}
+    found = words.filter(step >= chosen[-1]).toPandas()
+    return {bytes(w): int(c) for w, c in zip(found["word"], found["c"])}
+
+
 def scored(docs: DataFrame, training, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte per row of `docs`.
 
@@ -223,8 +239,7 @@ def scored(docs: DataFrame, training, id_col: str = "doc_id", text: str = "text"
     words, trie, texts = learn(docs.filter(training).select(text))
     total = words.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
     tokens, distinct = total.n + texts, total.v + (texts > 0)
-    frequent = words.orderBy(F.desc("c"), "word").limit(HEAD).toPandas()
-    head = {bytes(w): int(c) for w, c in zip(frequent["word"], frequent["c"])}
+    head = most_frequent(words, HEAD)
     shared = spark.sparkContext.broadcast((head, trie))  # HEAD words and 2 ** NODE_BITS nodes a depth at most
     whole = len(head) == total.v  # then no other word is known either
 
