@@ -68,13 +68,13 @@ class _Archive:
     """Files of about `FILE_BYTES`, started one after the other in a folder that all tasks reach."""
 
     def __init__(self, folder: str):
-        self.files, self.root = fs.FileSystem.from_uri(folder)
+        self.folder, (self.files, self.root) = folder, fs.FileSystem.from_uri(folder)
         self.out, self.done = None, []
 
     def add(self, head: bytes, payload: memoryview) -> None:
         if self.out is None:
-            self.name, self.size, self.records = f"{self.root}/{uuid.uuid4().hex}.warc.gz", 0, 0
-            self.out = self.files.open_output_stream(self.name, compression=None)
+            self.name, self.size, self.records = f"{uuid.uuid4().hex}.warc.gz", 0, 0
+            self.out = self.files.open_output_stream(f"{self.root}/{self.name}", compression=None)
         press = zlib.compressobj(6, zlib.DEFLATED, _GZIP)
         self._write(press.compress(head))
         for i in range(0, len(payload), BLOCK):
@@ -91,7 +91,7 @@ class _Archive:
     def close(self) -> None:
         if self.out is not None:
             self.out.close()
-            self.done.append((self.name, self.records, self.size))
+            self.done.append((f"{self.folder}/{self.name}", self.records, self.size))  # with the store's scheme
             self.out = None
 
 
