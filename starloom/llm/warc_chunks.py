@@ -227,7 +227,8 @@ def chunks(manifest: DataFrame, payloads: bool = True) -> DataFrame:
                         ("digest", text)] + [("data", pa.binary())] * payloads)
     columns = ("record_id string, chunk bigint, last boolean, page_id bigint, url string, record_type string, "
                "refers_to bigint, stated_digest string, bytes bigint, digest string" + ", data binary" * payloads)
-    return manifest.select("path").repartition("path").mapInArrow(run, columns)
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return manifest.select("path").repartition(tasks, "path").mapInArrow(run, columns)  # a few names become many rows
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
