@@ -5,9 +5,10 @@ from all training texts. A symbol is predicted from the longest context; where i
 there, the model escapes to the next shorter one with the probability d / (n + d) (n symbols seen, d
 of them distinct) and excludes the symbols it has just ruled out, down to an even choice among the
 bytes that were never seen at all. Byte 255, which UTF-8 never uses, stands before the start and at
-the end of a text. A string is a node of the trie if it makes up at least 2 ** -NODE_BITS of all
-positions, so no depth has more than 2 ** NODE_BITS nodes, whatever the corpus, and what reaches
-every task is bounded.
+the end of a text. No count is dropped: the trie is a written table of all strings. What a symbol costs
+depends on it and its context alone, so at most 2 ** NODE_BITS frequent strings of full length reach
+every task with their logarithms; the other strings of the documents, and those that were never seen
+in training, are counted per document and meet the table in joins.
 
 The word score needs the count of every word. Words are counted per task and summed by Spark. The
 `HEAD` most frequent ones reach every task; the others, none of which can be frequent, meet the
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.texts import pieces, remainder, utf8
@@ -34,6 +35,8 @@ BLOCK = 1 << 20
 FLUSH_WORDS = 200_000
 FLUSH_CODES = 1 << 22
 _EDGES = b"\xff" * ORDER
+_DEPTH = 40  # bits of a string in a node's number; its length stands above them
+_STATS = ("seen", "kinds", "x_seen", "x_kinds")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -82,7 +85,10 @@ class _Places:
 
 
 class Trie:
-    """The model: per context length the nodes, and per context what an escape from it leads to."""
+    """The model in one process: per context length the nodes, and per context what an escape from it leads to.
+
+    `trie_table` and `unseen_logs` give the same numbers from tables of any size.
+    """
 
     def __init__(self, nodes: list[tuple[np.ndarray, np.ndarray]]):
         """`nodes[k]`: the strings of k + 1 bytes, as sorted numbers, and their counts."""
@@ -195,36 +201,114 @@ def counted(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word binary, code bigint, n bigint")
 
 
-def learn(texts: DataFrame) -> tuple[DataFrame, Trie, int]:
-    """The words' counts (word, c), the byte model, and the number of texts."""
+def learn(texts: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """The words' counts (word, c), the strings' counts (code, n), and the number of texts."""
     partial = materialise(counted(texts))
     words = materialise(partial.filter("word is not null").groupBy("word").agg(F.sum("n").alias("c")))
     strings = materialise(partial.filter("word is null").groupBy("code").agg(F.sum("n").alias("n")))
-    facts = strings.agg(F.sum(F.when(F.col("code") >= 0, F.col("n"))).alias("positions"),
-                        F.sum(F.when(F.col("code") < 0, F.col("n"))).alias("texts")).first()
-    least = (facts.positions or 0) / (1 << NODE_BITS)
-    nodes = []
-    for depth in range(1, ORDER + 2):
-        short = F.col("code").bitwiseAND(F.lit((1 << 8 * depth) - 1))
-        kept = strings.filter("code >= 0").groupBy(short.alias("key")).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-        found = kept.toPandas().sort_values("key")
-        nodes.append((found["key"].to_numpy(np.int64), found["n"].to_numpy(np.int64)))
-    return words, Trie(nodes), int(facts.texts or 0)
+    seen = strings.filter("code < 0").agg(F.sum("n").alias("texts")).first()
+    return words, strings.filter("code >= 0"), int(seen.texts or 0)
 
 
-def most_frequent(words: DataFrame, most: int) -> dict[bytes, int]:
-    """The words from some count on, at most `most` of them, and their counts.
+def _node(depth: int, key: Column) -> Column:
+    """One number for a string of `depth` bytes, the last ones of `key`."""
+    return key.bitwiseAND(F.lit((1 << 8 * depth) - 1)).bitwiseOR(F.lit(depth << _DEPTH))
+
+
+def trie_table(strings: DataFrame) -> DataFrame:
+    """The trie, a row per string of up to ORDER + 1 bytes: node, n, seen, kinds, x_seen, x_kinds.
+
+    `n` counts the string. As a context it was followed by `seen` symbols, `kinds` of them distinct;
+    the shorter context without those has `x_seen` and `x_kinds`. Each is null where the string never
+    stood so. No join has more than 256 rows a key on either side.
+    """
+    all_depths = F.array(*[_node(d, F.col("code")) for d in range(1, ORDER + 2)])
+    counts = materialise(strings.select(F.explode(all_depths).alias("node"), "n").groupBy("node").agg(F.sum("n").alias("n")))
+
+    def cut(column: str) -> Column:  # the string without its first byte
+        return F.expr(f"shiftleft(cast(shiftright({column}, {_DEPTH}) - 1 as bigint), {_DEPTH}) | "
+                      f"({column} & (shiftleft(1L, cast(8 * (shiftright({column}, {_DEPTH}) - 1) as int)) - 1))")
+
+    owner = F.expr(f"shiftleft(cast(shiftright(node, {_DEPTH}) - 1 as bigint), {_DEPTH}) | "
+                   f"shiftright(node & {(1 << _DEPTH) - 1}L, 8)")
+    short = counts.select(F.col("node").alias("short"), F.col("n").alias("short_n"))
+    contexts = materialise(
+        counts.select(owner.alias("context"), cut("node").alias("short"), "n").join(short, "short", "left")
+        .groupBy("context").agg(F.sum("n").alias("seen"), F.count(F.lit(1)).alias("kinds"), F.sum("short_n").alias("again")))
+    shorter = contexts.select(F.col("context").alias("short"), F.col("seen").alias("short_seen"), F.col("kinds").alias("short_kinds"))
+    # the empty context has no shorter one
+    inner = contexts.withColumn("short", F.when(F.col("context") > 0, cut("context"))).join(shorter, "short", "left")
+    blank = F.lit(None).cast("bigint")
+    rows = counts.select("node", "n", *[blank.alias(c) for c in _STATS]).unionByName(inner.select(
+        F.col("context").alias("node"), blank.alias("n"), "seen", "kinds", (F.col("short_seen") - F.col("again")).alias("x_seen"),
+        (F.col("short_kinds") - F.col("kinds")).alias("x_kinds")))
+    return materialise(rows.groupBy("node").agg(*[F.max(c).alias(c) for c in ("n", *_STATS)]))
+
+
+def seen_logs(trie: DataFrame) -> DataFrame:
+    """(code, n, log) of every string of full length: log10 of its last symbol's probability."""
+    whole = trie.filter(F.shiftright("node", _DEPTH) == ORDER + 1).select(
+        F.col("node").bitwiseAND(F.lit((1 << _DEPTH) - 1)).alias("code"), "n")
+    contexts = trie.filter((F.shiftright("node", _DEPTH) == ORDER) & F.col("seen").isNotNull()).select(
+        F.col("node").alias("context"), "seen", "kinds")
+    return whole.withColumn("context", _node(ORDER, F.shiftright("code", 8))).join(contexts, "context").select(
+        "code", "n", (F.log10("n") - F.log10(F.col("seen") + F.col("kinds"))).alias("log"))
+
+
+def unseen_logs(found: DataFrame, trie: DataFrame) -> DataFrame:
+    """(code, log) of distinct codes that are not in the trie at full length.
+
+    Strings of up to two bytes are at most 65,793 rows and are broadcast.
+    """
+    root = trie.filter("node = 0").first()
+    fresh = F.lit(-float(np.log10(max(256 - (root.kinds if root else 0), 1))))
+    for depth in range(1, ORDER + 1):
+        part = trie.filter(F.shiftright("node", _DEPTH) == depth)
+        symbol = part.filter("n is not null").select(F.col("node").alias("at"), F.col("n").alias(f"n{depth}"))
+        context = part.filter("seen is not null").select(F.col("node").alias("at"), *[F.col(c).alias(f"{c}{depth}") for c in _STATS])
+        for side, key in ((symbol, F.col("code")), (context, F.shiftright("code", 8))):
+            side = F.broadcast(side) if depth <= 2 else side
+            found = found.withColumn("at", _node(depth, key)).join(side, "at", "left").drop("at")
+    if root:
+        found = found.withColumns({f"{c}0": F.lit(root[c]).cast("bigint") for c in _STATS})
+    else:
+        found = found.withColumns({f"{c}0": F.lit(None).cast("bigint") for c in _STATS})
+    # `plain`: the symbol's log after the context of k bytes; `rest`: what follows an escape from it
+    plain = rest = None
+    for k in range(ORDER + 1):
+        seen, kinds = F.col(f"seen{k}"), F.col(f"kinds{k}")
+        known, norm = seen.isNotNull(), F.log10(seen + kinds)
+        if k == 0:
+            rest = fresh
+        else:
+            x_norm = F.log10(F.col(f"x_seen{k}") + F.col(f"x_kinds{k}"))
+            hit = F.col(f"n{k}").isNotNull()
+            escaped = F.when(F.col(f"x_kinds{k}") > 0, F.log10(f"x_kinds{k}") - x_norm).otherwise(0.0) + rest
+            rest = F.when(known, F.when(hit, F.log10(f"n{k}") - x_norm).otherwise(escaped)).otherwise(plain)
+        missed = F.when(known, F.log10(kinds) - norm).otherwise(0.0) + rest
+        n = F.col(f"n{k + 1}") if k < ORDER else F.lit(None).cast("bigint")
+        plain = F.when(n.isNotNull(), F.log10(n) - norm).otherwise(missed)
+        found = found.withColumns({f"plain{k}": plain, f"rest{k}": rest})
+        plain, rest = F.col(f"plain{k}"), F.col(f"rest{k}")
+    return found.select("code", plain.alias("log"))
+
+
+def frequent(counts: DataFrame, column: str, most: int) -> DataFrame:
+    """The rows from some count on, at most `most` of them.
 
     The count is found among steps of 4 % by a histogram of at most some thousand rows, so that the
-    driver gets no more than the words chosen.
+    driver gets no more than the rows chosen.
     """
-    step = F.floor(F.log2(F.col("c").cast("double")) * 16)
-    sizes = words.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("step")).collect()
+    step = F.floor(F.log2(F.col(column).cast("double")) * 16)
+    sizes = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("step")).collect()
     ends = np.cumsum([r.n for r in sizes])
     chosen = [r.step for r, end in zip(sizes, ends) if end <= most]
-    if not chosen:
-        return {}
-    found = words.filter(step >= chosen[-1]).toPandas()
+    return counts.filter(step >= chosen[-1] if chosen else F.lit(False))
+
+
+def most_frequent(words: DataFrame, most: int) -> dict[bytes, int]:
+    """The words that `frequent` chooses and their counts."""
+    found = frequent(words, "c", most).toPandas()
     return {bytes(w): int(c) for w, c in zip(found["word"], found["c"])}
 
 
@@ -236,19 +320,35 @@ def scored(docs: DataFrame, training, id_col: str = "doc_id", text: str = "text"
     Repeated rows count as often in training and are scored alike; an empty table gives an empty result.
     """
     spark = prepare(docs.sparkSession)
-    words, trie, texts = learn(docs.filter(training).select(text))
+    words, strings, texts = learn(docs.filter(training).select(text))
+    trie = trie_table(strings)
+    costs = materialise(seen_logs(trie))
     total = words.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
     tokens, distinct = total.n + texts, total.v + (texts > 0)
     head = most_frequent(words, HEAD)
-    shared = spark.sparkContext.broadcast((head, trie))  # HEAD words and 2 ** NODE_BITS nodes a depth at most
+    near = frequent(costs, "n", 1 << NODE_BITS).toArrow()
+    near = near["code"].to_numpy(), near["log"].to_numpy()
+    shared = spark.sparkContext.broadcast((head, *near))  # HEAD words and 2 ** NODE_BITS strings at most
     whole = len(head) == total.v  # then no other word is known either
 
-    schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("word", pa.binary()), ("k", pa.int64()), ("n_tokens", pa.int64()),
+    schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("word", pa.binary()), ("code", pa.int64()), ("k", pa.int64()), ("n_tokens", pa.int64()),
                         ("n_known", pa.int64()), ("logs", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, trie = shared.value
-        logs = {w: (c, float(np.log10(c + 1))) for w, c in head.items()}
+        head, near, costs = shared.value
+        logs, places = {w: (c, float(np.log10(c + 1))) for w, c in head.items()}, _Places(near)
+
+        def at_hand(text: bytes) -> tuple[float, np.ndarray, np.ndarray]:
+            """The sum over the strings at hand, and the other strings with their counts."""
+            total, others = 0.0, []
+            for block in codes(text):
+                at = places.find(block)
+                there = at >= 0
+                total += float(costs[at[there]].sum())
+                if not there.all():
+                    others.append(block[~there])
+            return total, *np.unique(np.concatenate(others or [np.empty(0, np.int64)]), return_counts=True)
+
         for batch in pieces(batches):
             keys, ids, rows, tails = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [], []
             for key, id_, text_ in zip(keys, ids, utf8(batch.column(2))):
@@ -262,38 +362,46 @@ def scored(docs: DataFrame, training, id_col: str = "doc_id", text: str = "text"
                         known += k
                         sum_ += k * entry[1]
                     elif not whole:
-                        tails.append((key, id_, word, k))
-                rows.append((key, id_, n, known, sum_, trie.score(lowered), len(lowered)))
+                        tails.append((key, id_, word, None, k))
+                near_score, others, counts = at_hand(lowered)
+                tails += [(key, id_, None, code, k) for code, k in zip(others.tolist(), counts.tolist())]
+                rows.append((key, id_, n, known, sum_, near_score, len(lowered)))
             key, id_, n, known, sum_, score, size = zip(*rows)
             m = len(tails)
-            tail = list(zip(*tails)) or [(), (), (), ()]
+            tail = list(zip(*tails)) or [(), (), (), (), ()]
             blank = [None] * m
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(
-                    (key + tail[0], id_ + tail[1], [None] * len(key) + list(tail[2]), [0] * len(key) + list(tail[3]),
+                    (key + tail[0], id_ + tail[1], *[[None] * len(key) + list(tail[i]) for i in (2, 3)], [0] * len(key) + list(tail[4]),
                      list(n) + blank, list(known) + blank, list(sum_) + blank, list(score) + blank, list(size) + blank), schema)],
                 schema=schema)
 
-    columns = ("key bigint, id bigint, word binary, k bigint, n_tokens bigint, n_known bigint, logs double, score double, "
+    columns = ("key bigint, id bigint, word binary, code bigint, k bigint, n_tokens bigint, n_known bigint, logs double, score double, "
                "n_bytes bigint")
     row_key = F.xxhash64(id_col, text)
     kind = docs.schema[id_col].dataType
     found = materialise(docs.select(row_key.alias("key"), F.col(id_col).cast("bigint").alias("id"), F.col(text)).mapInArrow(run, columns))
-    rows = found.filter("word is null").withColumn("id0", F.coalesce("id", F.lit(0))).drop("word", "k")
+    rows = found.filter("n_bytes is not null").withColumn("id0", F.coalesce("id", F.lit(0))).drop("word", "code", "k")
     tail = found.filter("word is not null").select("key", F.coalesce("id", F.lit(0)).alias("id0"), "word", "k")
     met = tail.join(words, "word").groupBy("key", "id0").agg(
         F.sum("k").alias("more"), F.sum(F.col("k") * F.log10(F.col("c") + 1)).alias("more_logs"))
     # equal rows have equal keys: their tails were summed over all of them
     copies = rows.groupBy("key", "id0").agg(F.count(F.lit(1)).alias("copies"))
-    met = met.join(copies, ["key", "id0"])
+    others = found.filter("code is not null").select("key", F.coalesce("id", F.lit(0)).alias("id0"), "code", "k")
+    asked = materialise(others.select("code").distinct().join(costs.select("code", "log"), "code", "left"))
+    asked_logs = materialise(asked.filter("log is not null").unionByName(
+        unseen_logs(asked.filter("log is null").select("code"), trie)))
+    met_codes = others.join(asked_logs, "code").groupBy("key", "id0").agg(F.sum(F.col("k") * F.col("log")).alias("more_score"))
+    met = met.join(met_codes, ["key", "id0"], "full").join(copies, ["key", "id0"])
     out = rows.join(met, ["key", "id0"], "left")
     more = F.coalesce(F.col("more") / F.col("copies"), F.lit(0.0))
     more_logs = F.coalesce(F.col("more_logs") / F.col("copies"), F.lit(0.0))
+    score = F.col("score") + F.coalesce(F.col("more_score") / F.col("copies"), F.lit(0.0))
     return out.select(
         F.col("id").cast(kind).alias("doc_id"), "n_tokens", (F.col("n_known") + more.cast("bigint")).alias("n_known"),
         F.lit(tokens).cast("bigint").alias("train_tokens"),
         (F.col("logs") + more_logs - F.col("n_tokens") * float(np.log10(tokens + distinct + 1))).alias("base_score"),
-        "score", (-F.col("score") / float(np.log10(2)) / (F.col("n_bytes") + 1)).alias("bits_per_byte"),
+        score.alias("score"), (-score / float(np.log10(2)) / (F.col("n_bytes") + 1)).alias("bits_per_byte"),
     )
 
 

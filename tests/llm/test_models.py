@@ -167,6 +167,20 @@ def test_byte_model_follows_the_definition():
         assert abs(model.score(text) - plain_ppm(texts, text)) < 1e-6
 
 
+@pytest.mark.parametrize("bits", [0, 5, 20])
+def test_op5_drops_no_context(spark, tmp_path, monkeypatch, bits):
+    monkeypatch.setattr(ppm, "NODE_BITS", bits)
+    rows = [(i, prose(i, 25) + " é 日本" * (i % 3), "en", "a", 0) for i in range(40)]
+    rows += [(40 + i, f"q{i}# ~ÿ é日 the w1 {chr(913 + i)}", "en", "a", 0) for i in range(20)]
+    rows += [(60, None, "en", "a", 0), (61, "ab ab", "en", "a", 0), (61, "ab ab", "en", "a", 0)]
+    held = [zlib.crc32(str(r[0]).encode()) % 7 == 2 for r in rows]
+    texts = [lower(r[1]).encode() for r, h in zip(rows, held) if not h]
+    got = sorted((r.doc_id, r.score) for r in ppm.corpus_scores(documents(spark, rows)).collect())
+    want = sorted((r[0], plain_ppm(texts, lower(r[1]).encode())) for r in rows)
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert max(abs(g[1] - w[1]) for g, w in zip(got, want)) < 1e-6
+
+
 def test_byte_model_is_a_distribution():
     model = trie([prose(i, 30).encode() for i in range(6)])
     for context in (b"the ", b"zzzz", b"w1x ", b"\xff\xff\xff\xff", b" q t"):
