@@ -9,7 +9,10 @@ templates, on fragments and shuffles of them (unknown), and on a bounded sample
 (unknown): the lines of the `SAMPLE` documents of least id hash that look like no template. Its
 probabilities are calibrated by one temperature on variants that were not fitted. A family is
 accepted from `ACCEPT`, and confirmed if a template of that family has at least `CONFIRM` of its word
-pairs in the paragraph; what is accepted and not confirmed is counted apart.
+pairs in the paragraph; what is accepted and not confirmed is counted apart. A paragraph may give
+further families: those it tells from `unknown` as surely and confirms, if it has a template pair of
+theirs that no family found before has. Lines that follow each other without a blank line are read
+once more as one paragraph, so that a notice broken over lines is found too.
 """
 
 from __future__ import annotations
@@ -144,6 +147,28 @@ class Model:
             return None
         return best, float(p[best]), self.similarity(best, found)
 
+    def families(self, found: list[bytes]) -> list[tuple[int, float, set[tuple[bytes, ...]]]]:
+        """(family, probability, its template pairs in the paragraph) of each accepted and confirmed family.
+
+        The most probable one comes first. The probability of a further one is against `unknown` alone.
+        """
+        if self.content.isdisjoint(found):
+            return []
+        have = set(zip(found, found[1:]))
+        matched = {k: max((t & have for t in self.pairs[k] if len(t & have) >= CONFIRM * len(t)), key=len, default=None)
+                   for k in range(1, len(FAMILIES))}
+        matched = {k: m for k, m in matched.items() if m}
+        if not matched:
+            return []
+        p, listed = self.probabilities(found), []
+        taken: set[tuple[bytes, ...]] = set()
+        for k in sorted(matched, key=lambda k: (p[k] < ACCEPT, -len(matched[k]), -p[k])):
+            sure = float(p[k] if p[k] >= ACCEPT else p[k] / (p[k] + p[0]))
+            if sure >= ACCEPT and not matched[k] <= taken:
+                listed.append((k, sure, matched[k]))
+                taken = taken.union(*self.pairs[k])
+        return listed
+
 
 def _pairs(found: list[bytes]) -> set[tuple[bytes, ...]]:
     return set(zip(found, found[1:])) or {(w,) for w in found}
@@ -230,6 +255,24 @@ def paragraphs(text: bytes) -> Iterator[tuple[int, list[bytes]]]:
                 yield number, found[start:start + SPAN]
 
 
+def blocks(text: bytes) -> Iterator[tuple[list[int], list[bytes]]]:
+    """(line number of each word, words) of overlapping windows over lines that follow each other.
+
+    A line without a word ends a block; a block of one line is left out, as `paragraphs` has it.
+    """
+    numbers: list[int] = []
+    found: list[bytes] = []
+    for number, line in enumerate([*text.split(b"\n"), b""]):
+        more = words(line)
+        numbers += [number] * len(more)
+        found += more
+        if not more:
+            if found and numbers[0] < numbers[-1]:
+                for start in range(0, max(len(found) - SPAN // 2, 1), SPAN // 2):
+                    yield numbers[start:start + SPAN], found[start:start + SPAN]
+            numbers, found = [], []
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Model:
     """Fit with up to `SAMPLE_LINES` lines of each of the `SAMPLE` documents of least id hash."""
     ids = docs.select(F.col(id_col).alias("id")).filter("id is not null").distinct()
@@ -265,12 +308,18 @@ def scan(docs: DataFrame, model: Model, carry: list[str], text: str = "text") ->
         loose: set[int] = set()
         if not model.content.isdisjoint(words(text_)):
             for number, found in paragraphs(text_):
+                for family, sure, _ in model.families(found):
+                    key = (number, FAMILIES[family])
+                    notices[key] = max(notices.get(key, 0.0), sure)
                 result = model.judge(found)
-                if result and result[2] >= CONFIRM:
-                    key = (number, FAMILIES[result[0]])
-                    notices[key] = max(notices.get(key, 0.0), result[1])
-                elif result:
+                if result and result[2] < CONFIRM:
                     loose.add(number)
+            for numbers, found in blocks(text_):
+                for family, sure, pairs in model.families(found):
+                    own = [n for n, pair in zip(numbers, zip(found, found[1:])) if pair in pairs and not STOP.issuperset(pair)]
+                    if not any(f == FAMILIES[family] and numbers[0] <= n <= numbers[-1] for n, f in notices):
+                        notices[own[0] if own else numbers[0], FAMILIES[family]] = sure
+                    loose.difference_update(own)
         listed = sorted(notices)
         return (lines, ",".join(sorted({f for _, f in listed})), ",".join(f"{n}:{f}" for n, f in listed),
                 len(loose - {n for n, _ in listed}), min(notices.values(), default=None))

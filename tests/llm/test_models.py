@@ -224,6 +224,34 @@ def test_op10(spark, tmp_path, clash):
         assert got[r[0]].families == "" and (r[0] in (9, 10, None) or got[r[0]].n_paragraphs == len(lines))
 
 
+WRAPPED = {
+    """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights""": "mit",
+    """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions are met:""": "bsd",
+    """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or""": "gpl",
+    """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as
+published by the Free Software Foundation.""": "agpl",
+}
+
+
+def test_op10_wrapped_and_dual(spark, tmp_path):
+    dual = {"Licensed under the Apache License, Version 2.0. Released under the MIT License.": "apache,mit",
+            "SPDX-License-Identifier: MIT OR Apache-2.0": "apache,mit"}
+    rows = [(700 + i, f"{prose(i, 60)}\n\n{n}\n{prose(i + 9, 60)}", "en", "a", 0) for i, n in enumerate(WRAPPED)]
+    rows += [(800 + i, f"{prose(i, 30)}\n{n}", "en", "a", 0) for i, n in enumerate(dual)]
+    rows += [(900, "\n\n".join(WRAPPED), "en", "a", 0)]
+    got = {r.doc_id: r for r in queries.op10_licence_paragraphs(spark, saved(tmp_path, documents=documents(spark, rows))).collect()}
+    # of the third notice the second line is one by itself
+    assert [got[700 + i].notices for i in range(len(WRAPPED))] == ["2:mit", "2:bsd", "3:gpl", "2:agpl"]
+    assert [got[800 + i].families for i in range(len(dual))] == list(dual.values())
+    assert got[900].families == ",".join(sorted(WRAPPED.values()))
+
+
 def test_op10_without_rows(spark, tmp_path):
     assert queries.op10_licence_paragraphs(spark, saved(tmp_path, documents=documents(spark, []))).count() == 0
 
