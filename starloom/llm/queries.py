@@ -14,6 +14,7 @@ from starloom.llm import (
     multi_index_simhash,
     nb_svm,
     ppm,
+    role_repair,
     skip_chain_crf,
     source_mix,
     threshold_rules,
@@ -80,10 +81,15 @@ def op10_licence_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
     return licence_paragraphs.notices(table(spark, folder, "documents"))
 
 
+def op13_role_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = role_repair.damaged(table(spark, folder, "conversations"))
+    return role_repair.repair(turns, copies=F.col("copies"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_densified_minhash, op2_skip_chain_crf, op3_warc_chunks, op4_nb_svm, op5_ppm, op6_bin_slack, op7_multi_index_simhash, op8_source_mix, op9_threshold_rules,
-        op10_licence_paragraphs,
+        op10_licence_paragraphs, op13_role_repair,
     )
 }
 SQL: dict[str, str] = {"op3_warc_chunks": warc_chunks.sql(), "op9_threshold_rules": threshold_rules.sql()}
