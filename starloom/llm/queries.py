@@ -19,6 +19,7 @@ from starloom.llm import (
     source_mix,
     threshold_rules,
     warc_chunks,
+    word_runs,
 )
 from starloom.llm.texts import table
 from starloom.session import prepare
@@ -81,6 +82,11 @@ def op10_licence_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
     return licence_paragraphs.notices(table(spark, folder, "documents"))
 
 
+def op11_word_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = word_runs.repeated_tails(table(spark, folder, "documents").select("doc_id", "text"))
+    return word_runs.digests(word_runs.word_runs(docs, ["doc_id"]))
+
+
 def op13_role_repair(spark: SparkSession, folder: str) -> DataFrame:
     turns = role_repair.damaged(table(spark, folder, "conversations"))
     return role_repair.repair(turns, copies=F.col("copies"))
@@ -89,7 +95,7 @@ def op13_role_repair(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_densified_minhash, op2_skip_chain_crf, op3_warc_chunks, op4_nb_svm, op5_ppm, op6_bin_slack, op7_multi_index_simhash, op8_source_mix, op9_threshold_rules,
-        op10_licence_paragraphs, op13_role_repair,
+        op10_licence_paragraphs, op11_word_runs, op13_role_repair,
     )
 }
 SQL: dict[str, str] = {"op3_warc_chunks": warc_chunks.sql(), "op9_threshold_rules": threshold_rules.sql()}
