@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starloom.llm import (
     bin_slack,
     densified_minhash,
+    grouping_genetic,
     licence_paragraphs,
     multi_index_simhash,
     nb_svm,
@@ -87,6 +88,10 @@ def op11_word_runs(spark: SparkSession, folder: str) -> DataFrame:
     return word_runs.digests(word_runs.word_runs(docs, ["doc_id"]))
 
 
+def op12_grouping_genetic(spark: SparkSession, folder: str) -> DataFrame:
+    return grouping_genetic.packed(table(spark, folder, "documents"), ["doc_id"])
+
+
 def op13_role_repair(spark: SparkSession, folder: str) -> DataFrame:
     turns = role_repair.damaged(table(spark, folder, "conversations"))
     return role_repair.repair(turns, copies=F.col("copies"))
@@ -95,7 +100,7 @@ def op13_role_repair(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_densified_minhash, op2_skip_chain_crf, op3_warc_chunks, op4_nb_svm, op5_ppm, op6_bin_slack, op7_multi_index_simhash, op8_source_mix, op9_threshold_rules,
-        op10_licence_paragraphs, op11_word_runs, op13_role_repair,
+        op10_licence_paragraphs, op11_word_runs, op12_grouping_genetic, op13_role_repair,
     )
 }
 SQL: dict[str, str] = {"op3_warc_chunks": warc_chunks.sql(), "op9_threshold_rules": threshold_rules.sql()}
