@@ -30,9 +30,12 @@ class LoadStats:
 
 
 def classify(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], changed: Column
+    target: DataFrame, source: DataFrame, keys: Sequence[str], changed: Column, absent: bool = True
 ) -> DataFrame:
-    """Full outer join of target and source on a unique key: structs `t` and `s` and an `_action`."""
+    """Join of target and source on a unique key: structs `t` and `s` and an `_action`.
+
+    Without `absent`, target rows that the source lacks are left out.
+    """
     t = target.withColumn("_in_target", F.lit(True)).alias("t")
     s = source.withColumn("_in_source", F.lit(True)).alias("s")
     on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
@@ -42,7 +45,7 @@ def classify(
         .when(changed, UPDATE)
         .otherwise(KEEP)
     )
-    return t.join(s, on, "full").select(
+    return t.join(s, on, "full" if absent else "right").select(
         F.struct("t.*").alias("t"), F.struct("s.*").alias("s"), action.alias("_action")
     )
 
@@ -107,13 +110,14 @@ def scd2_changes(
     key: str,
     hash_column: str = "row_hash",
     refresh: Sequence[str] = (),
+    absent: bool = True,
 ) -> DataFrame:
     """Classify the current versions against the source by fingerprint.
 
     `refresh` columns are Type 1: for a version that stays, a difference there sets `_refresh`.
     """
     changed = differs([F.col(f"t.{hash_column}")], [F.col(f"s.{hash_column}")])
-    joined = classify(current, source, [key], changed)
+    joined = classify(current, source, [key], changed, absent)
     stale = (
         differs([F.col(f"t.{c}") for c in refresh], [F.col(f"s.{c}") for c in refresh])
         if refresh else F.lit(False)

@@ -21,13 +21,14 @@ def latest_rows(changes: DataFrame, key: str, sequence: str) -> DataFrame:
 def merge_feed(
     stream: DataFrame, store: WarehouseStore, dim: Dimension, sequence: str, checkpoint: str, **trigger
 ) -> StreamingQuery:
-    """Start a query that applies each micro-batch as one audited Type 2 load.
+    """Start a query that applies each micro-batch as one audited Type 2 load, exactly once.
 
-    A micro-batch that is delivered again finds its rows already current and changes nothing.
+    The batch carries the checkpoint's folder and the micro-batch number. One that is delivered again
+    after it was published is skipped; after a driver was lost inside it, it is loaded anew.
     """
     def apply(batch: DataFrame, number: int) -> None:
         rows = conform(latest_rows(batch, dim.natural, sequence), dim.source_schema)
-        load_dimension(store, dim, with_hash(rows, dim.tracked), f"{dim.name} feed {number}")
+        load_dimension(store, dim, with_hash(rows, dim.tracked), f"{dim.name} feed {number}", feed=checkpoint, number=number)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

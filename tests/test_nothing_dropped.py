@@ -69,8 +69,8 @@ def test_error_texts_stay_whole(spark, tmp_path):
 def test_an_unreadable_log_is_not_an_empty_store(spark, tmp_path):
     store = WarehouseStore(spark, str(tmp_path))
     assert store.batches().count() == 0
-    (tmp_path / "etl" / "load_batch").mkdir(parents=True)
-    (tmp_path / "etl" / "load_batch" / "part-0.parquet").write_text("not parquet")
+    (tmp_path / "etl" / "batches").mkdir(parents=True)
+    (tmp_path / "etl" / "batches" / "000000000001-opened.json").write_text("not a batch")
     with pytest.raises(Exception):
         store.batches().collect()
 
