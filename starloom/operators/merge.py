@@ -22,11 +22,12 @@ class LoadStats:
     inserted: int
     updated: int
     refreshed: int = 0
+    rejected: int = 0
 
     def __add__(self, other: LoadStats) -> LoadStats:
         return LoadStats(
-            self.inserted + other.inserted, self.updated + other.updated, self.refreshed + other.refreshed
-        )
+            self.inserted + other.inserted, self.updated + other.updated, self.refreshed + other.refreshed,
+            self.rejected + other.rejected)
 
 
 def classify(

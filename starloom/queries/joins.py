@@ -76,11 +76,23 @@ def join_right(s):
 
 @query("join_full", roles("cust", "ord") + """
 select c.customer_id, c.company_name, o.order_id, o.customer_id as buyer
-from (select * from cust where balance >= 0) c full join ord o on o.customer_id = c.customer_id""")
+from cust c full join ord o on o.customer_id = c.customer_id""")
 def join_full(s):
-    in_credit = s.src.customers.filter(F.col("balance") >= 0).select("customer_id", "company_name")
+    customers = s.src.customers.select("customer_id", "company_name")
     orders = s.src.orders.select("order_id", F.col("customer_id").alias("buyer"))
-    return full_outer(in_credit, orders, "customer_id", "buyer")
+    return full_outer(customers, orders, "customer_id", "buyer")
+
+
+@query("join_full_days", roles("ord", "item") + """
+select ordered_on, order_count, shipped_on, line_count
+from (select cast(order_date as date) as ordered_on, count(*) as order_count from ord group by 1) o
+full join (select cast(shipped as date) as shipped_on, count(*) as line_count from item group by 1) i on shipped_on = ordered_on""")
+def join_full_days(s):
+    """Days with orders beside days with shipments; the first and last days have one of them only."""
+    one = F.count(F.lit(1))
+    ordered = s.src.orders.groupBy(F.col("order_date").cast("date").alias("ordered_on")).agg(one.alias("order_count"))
+    shipped = s.raw("lineitem").groupBy(F.col("l_shipdate").cast("date").alias("shipped_on")).agg(one.alias("line_count"))
+    return full_outer(ordered, shipped, "ordered_on", "shipped_on")
 
 
 @query("join_cross", roles("cust", "ord") + """
