@@ -57,7 +57,7 @@ def record(page_id: int | None, url: str | None, size: int, digest: str, refers_
         "WARC-Profile": PROFILE, "WARC-Refers-To": record_id(refers_to, digest), "X-Refers-To-Page": refers_to}
     warc = VERSION + b"\r\n" + _head({
         "WARC-Type": "response" if refers_to is None else "revisit", "WARC-Record-ID": record_id(page_id, digest),
-        "WARC-Date": date, "WARC-Target-URI": None if url is None else quote(url, safe="%/:?#[]@!$&'()*+,;=~"),
+        "WARC-Date": date, "WARC-Target-URI": None if url is None else quote(url, safe="/:?#[]@!$&'()*+,;=~"),
         "WARC-Payload-Digest": f"sha256:{digest}", "X-Page": page_id, **revisit,
         "Content-Type": "application/http; msgtype=response", "Content-Length": len(http) + follows,
     }) + b"\r\n"
@@ -135,14 +135,19 @@ class _Stream:
 
     def __init__(self, file):
         self.file, self.unpack, self.raw, self.held, self.at = file, zlib.decompressobj(_GZIP), b"", b"", 0
+        self.inside = False  # a member
 
     def more(self) -> bool:
+        """Whether there were more bytes; a file that ends inside a member is an error."""
         while True:
             if self.unpack.eof:
-                self.raw, self.unpack = self.unpack.unused_data, zlib.decompressobj(_GZIP)
+                self.raw, self.unpack, self.inside = self.unpack.unused_data, zlib.decompressobj(_GZIP), False
             self.raw = self.raw or self.file.read(BLOCK)
             if not self.raw:
+                if self.inside:
+                    raise EOFError("the archive ends inside a record")
                 return False
+            self.inside = True
             data = self.unpack.decompress(self.raw, BLOCK)
             self.raw = self.unpack.unconsumed_tail
             if data:
@@ -152,6 +157,8 @@ class _Stream:
     def until(self, mark: bytes) -> bytes | None:
         while (end := self.held.find(mark, self.at)) < 0:
             if not self.more():
+                if self.at < len(self.held):
+                    raise EOFError("the archive ends inside a record's headers")
                 return None
         found, self.at = self.held[self.at:end], end + len(mark)
         return found
@@ -175,6 +182,8 @@ def _records(stream: _Stream) -> Iterator[tuple]:
     while (head := stream.until(b"\r\n\r\n")) is not None:
         warc = _fields(head)
         http = stream.until(b"\r\n\r\n")
+        if http is None:
+            raise EOFError("the archive ends inside a record's headers")
         left = int(warc["content-length"]) - len(http) - 4
         if warc["warc-type"] == "revisit":
             size, digest = int(_fields(http)["content-length"]), warc["warc-payload-digest"].partition(":")[2]
@@ -200,12 +209,14 @@ def chunks(manifest: DataFrame, payloads: bool = True) -> DataFrame:
 
     record_id, chunk, last, page_id, url, record_type, refers_to (page id), stated_digest, bytes and
     digest (of the payload up to this chunk's end; of a revisit as its headers state) and, unless
-    left out, the chunk's `data`. Chunks hold `CHUNK` bytes to twice that, the last one fewer.
+    left out, the chunk's `data`. Chunks hold `CHUNK` bytes to twice that, the last one fewer. A file
+    that ends inside a record, or has another number of records than its manifest says, is an error.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column(0).to_pylist():
+            for path, stated in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                seen = 0
                 files, name = fs.FileSystem.from_uri(path)
                 with files.open_input_stream(name, compression=None) as file:
                     rows = []
@@ -215,11 +226,14 @@ def chunks(manifest: DataFrame, payloads: bool = True) -> DataFrame:
                                None if url is None else unquote(url), warc["warc-type"], None if refers is None else int(refers),
                                warc["warc-payload-digest"].partition(":")[2], size, digest)
                         rows.append(row + (data,) * payloads)
+                        seen += last
                         if len(rows) == ROWS:
                             yield _batch(rows, schema)
                             rows = []
                     if rows:
                         yield _batch(rows, schema)
+                if seen != stated:
+                    raise EOFError(f"{path} has {seen} records, its manifest says {stated}")
 
     text, number = pa.string(), pa.int64()
     schema = pa.schema([("record_id", text), ("chunk", number), ("last", pa.bool_()), ("page_id", number), ("url", text),
@@ -228,7 +242,7 @@ def chunks(manifest: DataFrame, payloads: bool = True) -> DataFrame:
     columns = ("record_id string, chunk bigint, last boolean, page_id bigint, url string, record_type string, "
                "refers_to bigint, stated_digest string, bytes bigint, digest string" + ", data binary" * payloads)
     tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return manifest.select("path").repartition(tasks, "path").mapInArrow(run, columns)  # a few names become many rows
+    return manifest.select("path", "records").repartition(tasks, "path").mapInArrow(run, columns)  # a few names become many rows
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

@@ -64,7 +64,7 @@ def archive(spark, rows):
 
 
 def test_chunks_give_back_every_payload_and_url(spark):
-    rows = [(i, f"http://x/{i}?q=a bé", prose(i, n)) for i, n in enumerate((0, 1, 50, 20_000, 60_000))]
+    rows = [(i, f"http://x/{i}?q=a bé%20c%25", prose(i, n)) for i, n in enumerate((0, 1, 50, 20_000, 60_000))]
     read = warc_chunks.chunks(archive(spark, rows)).collect()
     for id_, url, html in rows:
         mine = sorted((r for r in read if r.page_id == id_), key=lambda r: r.chunk)
@@ -91,3 +91,21 @@ def test_files_nobody_listed_are_not_read(spark):
     with open(f"{folder}/lost-task.warc.gz", "wb") as file:
         file.write(b"half a file")
     assert [r.page_id for r in warc_chunks.chunks(manifest).collect()] == [1]
+
+
+def test_a_cut_archive_is_an_error(spark):
+    manifest = archive(spark, [(i, "u", prose(i, 400)) for i in range(5)]).coalesce(1)
+    (row, *_) = sorted(manifest.collect(), key=lambda r: -r.records)
+    data = open(row.path, "rb").read()
+    ends = [i for i in range(len(data)) if data[i:i + 3] == b"\x1f\x8b\x08"] + [len(data)]  # members start here
+    whole = warc_chunks.chunks(manifest.filter(F.col("path") == row.path))
+    assert whole.filter("last").count() == row.records
+    cuts = {ends[1] + 30, ends[-1] - 4, ends[-1] - 40, (ends[0] + ends[1]) // 2} | ({ends[-2]} if row.records > 1 else {0})
+    for cut in cuts:
+        with open(row.path, "wb") as file:
+            file.write(data[:cut])
+        if cut == len(data):
+            continue
+        print('cut', cut, len(data), ends)
+        with pytest.raises(Exception, match="ends inside|manifest says"):
+            whole.collect()

@@ -7,7 +7,7 @@ import re
 
 import numpy as np
 import pytest
-from tables import documents, odd_rows, rows_of, saved
+from tables import documents, odd_rows, prose, rows_of, saved
 
 from starloom.llm import queries
 from starloom.llm import skip_chain_crf as crf
@@ -66,39 +66,85 @@ def test_base_spans_of_random_texts():
 @pytest.mark.parametrize("text", ["a" * 400_000, "1" * 400_000, "1." * 200_000, "@" * 200_000, "+1(" * 100_000, "a@" * 150_000, "1 " * 200_000])
 def test_long_runs_take_linear_time(text):
     crf.base_spans(text)
-    crf.added_spans(crf.fit(*[np.empty(0, np.int64)] * 2, *[np.empty((0, 2), np.int64)] * 2), [text[:50_000]], [crf.base_spans(text[:50_000])])
+    blank = crf.Field(np.zeros((crf.N_FEATURES, crf.LABELS)), *np.zeros((2, crf.LABELS, crf.LABELS)))
+    crf.added_spans(blank, [text[:50_000]], [crf.base_spans(text[:50_000])])
 
 
 def test_marginals_are_exact_on_trees():
     draw = np.random.RandomState(0)
-    field = crf.Field(draw.normal(size=(crf.N_FEATURES, crf.LABELS)), draw.normal(size=(crf.LABELS,) * 2), np.eye(crf.LABELS) * 1.5)
+    field = crf.Field(draw.normal(size=(crf.N_FEATURES, crf.LABELS)), draw.normal(size=(crf.LABELS,) * 2), draw.normal(size=(crf.LABELS,) * 2))
     features = np.array([1 | 1 << 5 | 1 << 10 | 1 << 1, 1 | 1 << 5, 1 | 1 << 5 | 1 << 10, 1 | 1 << 4 | 1 << 1], np.int64)
-    chain, skip = np.array([[0, 1], [1, 2]]), np.array([[0, 3]])
-    got = crf.marginals(field, features, chain, skip)
+    chain, ties = np.array([[0, 1], [1, 2]]), np.array([[0, 0], [1, 2]])
+    got = crf.marginals(field, features, chain, ties, [set(), {3, 4}])
     node = np.where(crf.possible(features), crf._bits(features) @ field.node, -40.0)
     want = np.zeros_like(got)
     for y in itertools.product(range(crf.LABELS), repeat=4):
-        weight = np.exp(sum(node[i, y[i]] for i in range(4)) + field.chain[y[0], y[1]] + field.chain[y[1], y[2]] + field.skip[y[0], y[3]])
-        for i in range(4):
-            want[i, y[i]] += weight
+        for h in range(crf.LABELS):
+            for g in (3, 4):
+                weight = np.exp(sum(node[i, y[i]] for i in range(4)) + field.chain[y[0], y[1]] + field.chain[y[1], y[2]]
+                                + field.skip[h, y[0]] - 8 * (h > 0) + field.skip[g, y[2]])
+                for i in range(4):
+                    want[i, y[i]] += weight
     assert np.abs(got - want / want.sum(1, keepdims=True)).max() < 1e-2
 
 
-def test_skip_links_carry_a_label_to_a_distant_repeat():
-    """An address without a domain is no base span; a likeness elsewhere in the document decides about it."""
-    field = crf.Field(np.zeros((crf.N_FEATURES, crf.LABELS)), np.zeros((crf.LABELS,) * 2), np.eye(crf.LABELS) * 8)
-    field.node[0, 0] = 1.0
-    field.node[6, 4] = 12.0  # a leading plus marks a phone number
-    text = "call +15551234567 now, " + "filler " * 50 + "again 15551234567 or 99 bottles"
-    added = crf.added_spans(field, [text], [crf.base_spans(text)])
-    at = text.rindex("15551234567")
-    assert added == [[(at, 3, at + 11)]]
-
-
-def test_links_grow_with_the_tokens():
+def people(seed, n):
+    """Texts that name somebody in a form the patterns know, and what they name, by kind."""
+    draw = random.Random(seed)
+    out = []
+    for _ in range(n):
+        digits = "".join(draw.choice("0123456789") for _ in range(10))
+        name = "".join(draw.choice("abcdefghijklmnop") for _ in range(6))
+        kind, formal = draw.choice([
+            (3, f"+1 ({digits[:3]}) {digits[3:6]}-{digits[6:]}"), (3, f"+1{digits}"), (3, f"+44 {digits[:3]} {digits[3:6]} {digits[6:]}"),
+            (0, f"{name}.{draw.choice('xyz')}@{draw.choice(['mail', 'post-box', 'inn'])}{draw.randrange(99)}.example.org")])
+        filler = prose(draw.randrange(10**6), draw.randrange(5, 60))
+        out.append((f"{filler} call {formal} now {draw.randrange(10**4)} of {draw.randrange(10**7, 10**8)} {filler}", kind, formal))
+    return out
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    rows = [(i, text, "en", "a", 0) for i, (text, _, _) in enumerate(people(1, 300))]
+    rows += [(1000 + i, f"{prose(i, 40)} {i} and {i * 7919}", "en", "a", 0) for i in range(600)]
+    return crf.train(documents(spark, rows))
+
+
+def test_the_trained_field_finds_second_mentions(trained):
+    draw = random.Random(9)
+    right = wrong = missed = 0
+    for text, kind, formal in people(2, 400):
+        for own in (True, False):
+            mention = crf.informal(formal if own else crf.stranger(formal, kind, draw), kind, draw)
+            longer = f"{text} later {mention} was there"
+            base = crf.base_spans(longer)
+            at = longer.rindex(mention)
+            want = [(at, kind, at + len(mention))] if own and base == crf.base_spans(text) else []
+            (added,) = crf.added_spans(trained, [longer], [base])
+            right += len(set(want) & set(added))
+            wrong += len(set(added) - set(want))
+            missed += len(set(want) - set(added))
+    assert right > 300 and right / (right + wrong) > 0.9 and right / (right + missed) > 0.9
+
+
+def test_evidence_reaches_every_occurrence(trained):
+    text = "call +15551234567 now, " + "and then 5551234567 again " * 600
+    (added,) = crf.added_spans(trained, [text], [crf.base_spans(text)])
+    assert added == [(m.start(), 3, m.end()) for m in re.finditer("(?<!1)5551234567", text)]
+    backwards = "so 5551234567 came, " * 600 + "call +15551234567 now"
+    (added,) = crf.added_spans(trained, [backwards], [crf.base_spans(backwards)])
+    assert len(added) == 600
+
+
+def test_nothing_is_added_without_a_formal_mention(trained):
+    text = "order 5551234567 and order 5551234567 and jo.doe@example, jo.doe@example; 4111.1111.1111.1112 and 10.0.0.300"
+    assert crf.added_spans(trained, [text], [crf.base_spans(text)]) == [[]]
+
+
+def test_hubs_grow_with_the_tokens():
     tokens = crf.candidates("5551234 x " * 2000)
-    chain, skip = crf.links(tokens, 0)
-    assert len(tokens.spans) == 2000 and len(chain) == 0 and len(skip) == 2 * 1999
+    assert len(tokens.spans) == 2000 and not crf.chain_links(tokens)
+    assert sum(map(len, crf.hubs(tokens))) == 2 * 2000
 
 
 @pytest.mark.parametrize("clash", [False, True])
