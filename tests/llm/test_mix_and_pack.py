@@ -68,6 +68,50 @@ def test_targets(spark, seed):
     assert got.keys() == want.keys() and all(math.isclose(got[s], want[s], rel_tol=1e-9, abs_tol=1e-6) for s in want)
 
 
+def test_shards_are_draws(spark):
+    """Counts of a source over the shards: the mean and variance of draws without replacement."""
+    draw = random.Random(4)
+    rows = [(i, prose(i, draw.randrange(300, 900), 50), "en", "abc"[min(i % 7, 2)], 0) for i in range(900)]
+    sizes = documents(spark, rows).select(F.col("doc_id"), source_mix._keys("source").alias("src"), source_mix.word_count("text").alias("size"))
+    plan = source_mix.schedule(source_mix.targets(sizes))
+    taken = source_mix.slots(plan).withColumns({"shard": F.expr("(shard * 4096 + slot) div 64")})
+    at = [r[0] for r in source_mix.slots(plan).selectExpr("shard * 4096 + slot").collect()]
+    assert sorted(at) == list(range(len(at)))  # every slot once
+    counts = {(r.shard, r.src): r.slots for r in source_mix.shard_counts(taken).collect()}
+    shards, total = len(at) // 64, len(at)
+    for r in plan.collect():
+        share = r.takes / total
+        found = np.array([counts.get((k, r.src), 0) for k in range(shards)])
+        variance = 64 * share * (1 - share) * (total - 64) / (total - 1)
+        assert abs(found.mean() - 64 * share) < 4 * (variance / shards) ** 0.5
+        assert 0.5 < found.var() / variance < 1.7
+
+
+def test_shards_of_documents(spark, tmp_path):
+    """What a document's row tells about its slots, against the list of slots."""
+    rows = odd_rows()
+    frame = documents(spark, rows)
+    sizes = frame.select(F.col("doc_id"), source_mix._keys("source").alias("src"), source_mix.word_count("text").alias("size")).filter("size > 0")
+    taken = defaultdict(list)
+    for r in source_mix.slots(source_mix.schedule(source_mix.targets(sizes))).collect():
+        taken[r.src, r.block].append(r.shard)
+    want = Counter()
+    for r in source_mix.placed(sizes).collect():
+        shards = [s for b in range(r.start // 128, (r.start + r.size - 1) // 128 + 1) for s in taken[r.src, b]]
+        want[r.doc_id, r.size, len(shards), min(shards, default=None), max(shards, default=None)] += 1
+    got = queries.op8_source_mix(spark, saved(tmp_path, documents=frame)).filter("size > 0")
+    assert Counter((r.doc_id, r.size, r.slots, r.first_shard, r.last_shard) for r in got.collect()) == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "first_slot" in plan and "first_shard" in plan
+
+
+def test_a_million_sources(spark):
+    sizes = spark.range(1_000_000).select(F.concat(F.lit("=s"), F.col("id")).alias("src"), (F.col("id") % 50 + 1 + F.when(F.col("id") < 3, 10**8).otherwise(0)).alias("size"))
+    got = source_mix.targets(sizes)
+    row = got.agg(F.count("nth"), F.max("nth"), F.sum("target"), F.max(F.col("target") / F.col("source_size")), F.sum("source_size")).first()
+    assert row[0] == 1_000_000 and row[1] == 999_999 and row[3] <= 2 and math.isclose(row[2], min(1.5 * row[4], 2 * row[4]), rel_tol=1e-9)
+
+
 def test_op8_without_rows_or_words(spark, tmp_path):
     assert queries.op8_source_mix(spark, saved(tmp_path / "0", documents=documents(spark, []))).count() == 0
     rows = [(1, None, "en", "a", 0), (2, " ", "en", None, 0)]
