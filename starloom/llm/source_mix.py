@@ -244,7 +244,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
         F.filter(F.array(F.struct(rest.alias("cut"), F.col("drawn_at").alias("at"))), lambda v: v["at"].isNotNull()),
     )
     out = whole.join(shares, ["hash", "name"]).select("row", F.explode(versions).alias("version"))
-    out = out.select("row", "version.cut", "version.at").repartitionByRange("at", "row").sortWithinPartitions("at")
+    out = out.select("row", "version.cut", "version.at").repartitionByRange("at").sortWithinPartitions("at")
     columns = {c: F.col(f"row.{c}") for c in docs.columns}
     columns[text] = F.coalesce("cut", F.col(f"row.{text}"))
     if "n_chars" in columns:
