@@ -3,6 +3,7 @@
 from starloom.queries import (  # noqa: F401
     aggregates,
     checks,
+    defects,
     joins,
     ordering,
     projections,
