@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,14 +74,18 @@ def rows_with_dangling(df: DataFrame, checks: Mapping[str, tuple[DataFrame, str]
         lost = part if lost is None else lost.unionByName(part)
     lost = materialise(lost)
     # At most one row per checked column.
-    affected = {r[0] for r in lost.select("column").distinct().collect()}
+    affected = [r[0] for r in lost.select("column").distinct().collect()]
+    return rows_meeting(df, list(checks), {k: lost.filter(F.col("column") == k).select("value") for k in affected})
+
+
+def rows_meeting(df: DataFrame, columns: Sequence[str], missing: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows with a NULL in any of `columns`, or a value that the one-column frame in `missing` lists once."""
     out, broken = df, F.lit(False)
-    for foreign_key in checks:
-        broken = broken | F.col(foreign_key).isNull()
-        if foreign_key in affected:
-            name = f"_missing_{foreign_key}"
-            missing = lost.filter(F.col("column") == foreign_key).select(F.col("value").alias(name))
-            out = out.join(missing, F.col(foreign_key) == F.col(name), "left")
+    for column in columns:
+        broken = broken | F.col(column).isNull()
+        if column in missing:
+            name = f"_missing_{column}"
+            out = out.join(missing[column].toDF(name), F.col(column) == F.col(name), "left")
             broken = broken | F.col(name).isNotNull()
     return out.filter(broken).select(*df.columns)
 
