@@ -14,7 +14,7 @@ from starloom.plans.load import pin_keys
 from starloom.queries.base import query, roles
 from starloom.queries.warehouse_marts import with_facts
 from starloom.session import work_path
-from starloom.sources import subset
+from starloom.sources import landing, subset
 from starloom.sources.landing import conform, row_count_report
 from starloom.sources.schemas import struct
 from starloom.sources.store import WarehouseStore, publish_snapshot
@@ -252,3 +252,28 @@ def referential_subset_staff(s):
     orders = subset.orders_and_lines(subset_tables(s), 1997, 12)["orders"]
     return subset.with_managers(s.src.employees, orders.select("employee_id"))
 
+
+
+LANDED = "customer_id bigint, company_name string, balance decimal(12,2), in_credit boolean"
+
+
+@query("csv_landing_apart", """
+with sent as (select c_custkey as id, c_name || case when c_custkey % 7 = 1 then chr(10) || 'said "so", twice' else '' end as name,
+  cast(c_acctbal as decimal(12,2)) as balance from customer)
+select case when id % 7 < 4 then id end as customer_id, case when id % 7 < 4 then name end as company_name,
+  case when id % 7 < 4 then balance end as balance, case when id % 7 < 4 then balance >= 0 end as in_credit,
+  case id % 7 when 4 then id || ',' || name || ',n/a,' || (balance >= 0) when 5 then 'no. ' || id || ',' || name || ',' || balance || ',' || (balance >= 0)
+    when 6 then id || ',' || name || ',' || balance || ',maybe' end as rejected_line from sent""")
+def csv_landing_apart(s):
+    """Customers sent as CSV, some over two lines and some with values of a wrong type, landed and kept apart."""
+    part = F.col("c_custkey") % 7
+    balance = F.col("c_acctbal").cast("decimal(12,2)")
+    sent = s.raw("customer").select(
+        F.when(part == 5, F.concat(F.lit("no. "), "c_custkey")).otherwise(F.col("c_custkey").cast("string")).alias("customer_id"),
+        F.when(part == 1, F.concat("c_name", F.lit('\nsaid "so", twice'))).otherwise(F.col("c_name")).alias("company_name"),
+        F.when(part == 4, "n/a").otherwise(balance.cast("string")).alias("balance"),
+        F.when(part == 6, "maybe").otherwise((balance >= 0).cast("string")).alias("in_credit"))
+    path = work_path(s.spark)
+    sent.write.options(header=True, escape='"').csv(path)
+    rows, rejected = landing.read_csv_apart(s.spark, path, struct(LANDED), line_breaks=True)
+    return rows.unionByName(rejected.select(landing.REJECTED), allowMissingColumns=True)

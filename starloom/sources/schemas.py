@@ -12,6 +12,7 @@ _TYPES = {
     "timestamp_ntz": T.TimestampNTZType(),
     "decimal(19,4)": T.DecimalType(19, 4), "decimal(12,4)": T.DecimalType(12, 4),
     "decimal(21,4)": T.DecimalType(21, 4), "decimal(5,4)": T.DecimalType(5, 4),
+    "decimal(12,2)": T.DecimalType(12, 2),
 }
 
 
