@@ -16,7 +16,7 @@ from starloom.queries.warehouse_marts import with_facts
 from starloom.session import work_path
 from starloom.sources import landing, subset
 from starloom.sources.landing import conform, row_count_report
-from starloom.sources.schemas import struct
+from starloom.sources.schemas import GRAINS, struct
 from starloom.sources.store import WarehouseStore, publish_snapshot
 
 FIRST, SECOND = "2000-01-01 00:00:00", "2001-01-01 00:00:00"
@@ -254,6 +254,56 @@ def referential_subset_staff(s):
 
 
 
+def all_staged(s):
+    return {
+        **subset_tables(s), "employees": s.src.employees, "shippers": s.src.shippers, "suppliers": s.src.suppliers,
+        "products": s.src.products.withColumn("category_id", F.col("category_name")), "categories": s.src.categories}
+
+
+@query("referential_subset_closure", roles("item", "ord", "emp", "prod", "supp").replace("with ", "with recursive ", 1) + _BUSY + """,
+staff as (select distinct employee_id from kept union
+  select e.reports_to from emp e join staff on staff.employee_id = e.employee_id where e.reports_to is not null),
+sold as (select order_id, product_id from item where order_id in (select order_id from kept)),
+goods as (select * from prod where product_id in (select product_id from sold))
+select 'customers' as table_name, cast(customer_id as varchar) as id, cast(1 as bigint) as rows from busy
+union all select 'orders', cast(order_id as varchar), 1 from kept
+union all select 'order_details', order_id || '/' || product_id, count(*) from sold group by order_id, product_id
+union all select 'products', cast(product_id as varchar), 1 from goods
+union all select distinct 'categories', category_name, 1 from goods
+union all select 'suppliers', cast(supplier_id as varchar), 1 from supp where supplier_id in (select supplier_id from goods)
+union all select 'employees', cast(employee_id as varchar), 1 from staff where employee_id in (select employee_id from emp)
+union all select distinct 'shippers', cast(ship_via as varchar), 1 from kept""")
+def referential_subset_closure(s):
+    """Ids of all tables of the subset, found by walking the declared keys from its orders and lines."""
+    tables = all_staged(s)
+    found = subset.closure(tables, subset.orders_and_lines(tables, 1997, 12))
+    out = None
+    for name, rows in found.items():
+        ids = F.concat_ws("/", *[F.col(k).cast("string") for k in GRAINS[name]])
+        part = rows.groupBy(ids.alias("id")).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "id", "rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("dangling_references", roles("item", "ord", "emp", "prod", "supp", "ship", "cust") + """
+select 'order_details.order_id' as reference, count(*) as rows from item where order_id % 5 = 0
+union all select 'order_details.product_id', count(*) from item where product_id in (select product_id from prod where discontinued)
+union all select 'orders.customer_id', count(*) from ord where order_id % 5 <> 0 and customer_id in (select customer_id from cust where balance < 0)
+union all select 'orders.employee_id', count(*) from ord where order_id % 5 <> 0 and employee_id % 4 = 3
+union all select 'orders.ship_via', count(*) from ord where order_id % 5 <> 0 and ship_via = 2
+union all select 'products.category_id', 0 from (select 1)
+union all select 'products.supplier_id', count(*) from prod where not discontinued and supplier_id not in (select supplier_id from supp)
+union all select 'employees.reports_to', count(*) from emp where employee_id % 4 <> 3 and reports_to % 4 = 3""")
+def dangling_references(s):
+    """Rows without a parent when every fifth order, every fourth employee, customers in debt, products off the list
+    and one shipper are missing."""
+    tables = all_staged(s)
+    return subset.dangling({
+        **tables, "orders": tables["orders"].filter("order_id % 5 <> 0"), "employees": tables["employees"].filter("employee_id % 4 <> 3"),
+        "customers": tables["customers"].join(s.raw("customer").filter("c_acctbal >= 0").select(F.col("c_custkey").alias("customer_id")), "customer_id", "left_semi"),
+        "products": tables["products"].filter("not discontinued"), "shippers": tables["shippers"].filter("shipper_id <> 2")})
+
+
 LANDED = "customer_id bigint, company_name string, balance decimal(12,2), in_credit boolean"
 
 

@@ -151,3 +151,19 @@ FOREIGN_KEYS: dict[str, dict[str, tuple[str, str]]] = {
         "shipped_date_key": ("dim_date", "date_key"),
     },
 }
+
+# Foreign keys of the landing tables: child -> column -> (parent, its key).
+REFERENCES: dict[str, dict[str, tuple[str, str]]] = {
+    "order_details": {"order_id": ("orders", "order_id"), "product_id": ("products", "product_id")},
+    "orders": {
+        "customer_id": ("customers", "customer_id"), "employee_id": ("employees", "employee_id"),
+        "ship_via": ("shippers", "shipper_id"),
+    },
+    "products": {"category_id": ("categories", "category_id"), "supplier_id": ("suppliers", "supplier_id")},
+    "employees": {"reports_to": ("employees", "employee_id")},
+    "territories": {"region_id": ("region", "region_id")},
+    "employee_territories": {"employee_id": ("employees", "employee_id"), "territory_id": ("territories", "territory_id")},
+    "customer_customer_demo": {
+        "customer_id": ("customers", "customer_id"), "customer_type_id": ("customer_demographics", "customer_type_id"),
+    },
+}

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import in_days
-from starloom.operators.joins import anti, key_set, semi
+from starloom.operators.joins import key_set, semi
+from starloom.plans.evidence import Evidence
 from starloom.session import materialise
+from starloom.sources.schemas import REFERENCES
 
 
 class IncompleteSubset(ValueError):
@@ -56,39 +59,64 @@ def orders_and_lines(tables: Mapping[str, DataFrame], year: int, n: int) -> dict
     }
 
 
+def closure(
+    tables: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame],
+    references: Mapping[str, Mapping[str, tuple[str, str]]] = REFERENCES,
+) -> dict[str, DataFrame]:
+    """The seeds and every row of `tables` they refer to, directly or through other rows.
+
+    A walk over the declared keys: each round takes the rows the last one added, asks for the parents
+    they name that are not kept yet, and writes those. It ends when a round adds nothing, after as many
+    rounds as the longest path of references has steps, so cycles and hierarchies need no case of their
+    own. NULL keys and keys without a parent add nothing; `dangling` counts the latter.
+    """
+    kept = {t: [materialise(rows)] for t, rows in seeds.items()}
+    fresh = {t: frames[0] for t, frames in kept.items()}
+    while fresh:
+        wanted: dict[str, DataFrame] = {}
+        for child, rows in fresh.items():
+            for column, (parent, key) in references.get(child, {}).items():
+                if column in rows.columns and parent in tables:
+                    keys = key_set(rows, column, key)
+                    wanted[parent] = wanted[parent].unionByName(keys) if parent in wanted else keys
+        fresh = {}
+        for parent, keys in wanted.items():
+            key = keys.columns[0]
+            keys = keys.distinct()
+            for known in kept.get(parent, []):
+                keys = keys.join(known.select(key), key, "left_anti")
+            rows = materialise(semi(tables[parent], key, keys, key, unique=True))
+            if not rows.isEmpty():
+                fresh[parent] = rows
+                kept.setdefault(parent, []).append(rows)
+    return {t: reduce(DataFrame.unionByName, frames) for t, frames in kept.items()}
+
+
+def dangling(
+    tables: Mapping[str, DataFrame], references: Mapping[str, Mapping[str, tuple[str, str]]] = REFERENCES,
+) -> DataFrame:
+    """(reference, rows): rows per declared reference whose key is in no row of the parent. One read per table."""
+    questions = Evidence(tables)
+    for child, columns in references.items():
+        for column, (parent, key) in columns.items():
+            if child in tables and parent in tables and column in tables[child].columns:
+                questions.refers(child, column, parent, key, orphans=f"{child}.{column}")
+    return questions.measures().select(F.col("check_id").alias("reference"), F.col("number").alias("rows"))
+
+
 def referential_subset(tables: Mapping[str, DataFrame], year: int, n: int) -> dict[str, DataFrame]:
     """Busiest customers of a year, their orders and lines, and everything those refer to."""
-    out = {t: materialise(df) for t, df in orders_and_lines(tables, year, n).items()}
-    orders, lines = out["orders"], out["order_details"]
-    products = materialise(semi(tables["products"], "product_id", lines, "product_id"))
-    staff = with_managers(tables["employees"], key_set(orders, "employee_id"))
-    out |= {
-        "products": products,
-        "categories": semi(tables["categories"], "category_id", products, "category_id"),
-        "suppliers": semi(tables["suppliers"], "supplier_id", products, "supplier_id"),
-        "employees": semi(tables["employees"], "employee_id", staff, "employee_id"),
-        "shippers": semi(tables["shippers"], "shipper_id", orders, "ship_via"),
-    }
+    out = closure(tables, orders_and_lines(tables, year, n))
     verify(out)
     return out
 
 
 def verify(subset: Mapping[str, DataFrame]) -> None:
     """Raise when a reference dangles or the extract is empty."""
-    references = [
-        ("order_details", "order_id", "orders", "order_id"),
-        ("order_details", "product_id", "products", "product_id"),
-        ("orders", "customer_id", "customers", "customer_id"),
-        ("orders", "employee_id", "employees", "employee_id"),
-        ("orders", "ship_via", "shippers", "shipper_id"),
-        ("products", "category_id", "categories", "category_id"),
-        ("products", "supplier_id", "suppliers", "supplier_id"),
-        ("employees", "reports_to", "employees", "employee_id"),
-    ]
-    for child, column, parent, key in references:
-        lost = anti(key_set(subset[child], column), column, subset[parent], key).limit(1).collect()
-        if lost:
-            raise IncompleteSubset(f"{child}.{column} {lost[0][0]!r} is not in {parent}")
+    # At most one row per declared reference.
+    lost = dangling(subset).filter(F.col("rows") > 0).orderBy("reference").collect()
+    if lost:
+        raise IncompleteSubset("; ".join(f"{r.reference}: {r.rows} rows without a parent" for r in lost))
     for table in ("customers", "orders", "order_details"):
         if subset[table].isEmpty():
             raise IncompleteSubset(f"{table} is empty: the selection matched nothing")
