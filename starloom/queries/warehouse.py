@@ -191,11 +191,11 @@ def product_source(s):
         "product_id", "category_name", "category_description", "supplier_name", "supplier_country", "row_hash")
 
 
-@query("hierarchy_flatten", roles("emp") + """
-select e.employee_id, e.first_name || ' ' || e.last_name as full_name, e.reports_to as manager_employee_id,
-  m.first_name || ' ' || m.last_name as manager_name,
-  exists (select 1 from emp r where r.reports_to = e.employee_id) as is_manager
-from emp e left join emp m on m.employee_id = e.reports_to""")
+@query("hierarchy_flatten", roles("emp") + """, named as (select employee_id as id, concat(first_name, ' ', last_name) as full_name, reports_to as boss from emp),
+leads as (select boss, count(*) as reports from named where boss is not null group by boss)
+select id as employee_id, full_name, named.boss as manager_employee_id,
+  (select any_value(n.full_name) from named n where n.id = named.boss) as manager_name,
+  coalesce(reports, 0) > 0 as is_manager from named left join leads on leads.boss = id""")
 def hierarchy_flatten(s):
     return dimensions.employee_source(s.src.employees, fingerprint=False).select(
         "employee_id", "full_name", "manager_employee_id", "manager_name", "is_manager")
