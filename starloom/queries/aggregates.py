@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from starloom.functions import AMOUNT, mean_money
 from starloom.plans import training
 from starloom.queries.base import query, roles, sql_mean
+from starloom.session import work_path
+from starloom.sources.scaled import scaled_between, scaled_fact, store_scaled
 
 
 @query("agg_global", roles("ord") + """
@@ -166,6 +168,18 @@ select cast(sum(net) as decimal(38,2)) as net_amount from (
   from lineitem, (select unnest(generate_series(1, 4)) as k))
 where order_day >= date '1997-01-01' and order_day < date '1997-02-01'""")
 def scaled_fact_month_sum(s):
-    from starloom.sources.scaled import scaled_fact
-
     return training.month_sum(scaled_fact(s.raw("lineitem"), 4), 1997, 1)
+
+
+@query("scaled_fact_stored_days", """
+select order_day as order_date, count(*) as line_count, cast(sum(net) as decimal(38,2)) as net_amount from (
+  select date '1996-01-01' + cast((l_orderkey * 7919 + l_partkey * 31 + l_linenumber * 389 + k * 104729) % 1461 as int) as order_day,
+         cast((l_orderkey * 104729 + l_partkey * 7 + l_linenumber * 53 + k * 7919) % 100000 as decimal(10,0)) * cast(0.01 as decimal(3,2)) as net
+  from lineitem, (select unnest(generate_series(1, 4)) as k))
+where order_day >= date '1996-12-20' and order_day < date '1997-02-03' group by 1""")
+def scaled_fact_stored_days(s):
+    """Days of a half-open key range over the fact as stored: other months are not read, other days skipped."""
+    path = work_path(s.spark)
+    store_scaled(scaled_fact(s.raw("lineitem"), 4), path)
+    return scaled_between(s.spark, path, 19961220, 19970203).groupBy("order_date").agg(
+        F.count(F.lit(1)).alias("line_count"), F.sum("net_amount").cast("decimal(38,2)").alias("net_amount"))

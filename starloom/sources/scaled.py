@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions import date_key
@@ -10,6 +10,8 @@ from starloom.functions import date_key
 # First day and number of days of the scaled fact.
 FIRST_DAY = "1996-01-01"
 DAYS = 1461
+SCHEMA = ("order_date_key int, order_date date, product_key bigint, customer_key int, net_amount decimal(10,2), "
+          "order_month int")
 
 
 def scaled_fact(lines: DataFrame, copies: int) -> DataFrame:
@@ -29,3 +31,27 @@ def scaled_fact(lines: DataFrame, copies: int) -> DataFrame:
         date_key(day).alias("order_date_key"), day.alias("order_date"),
         (p + 1).alias("product_key"), (o % 91 + 1).cast("int").alias("customer_key"),
         (cents.cast("decimal(10,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(10,2)").alias("net_amount"))
+
+
+def store_scaled(fact: DataFrame, path: str) -> None:
+    """Write the fact in a folder per month, its rows sorted by day.
+
+    Ranges go on to product and customer, so that a day with very many rows is cut as well. A range
+    spans few months, so there are about as many files as tasks and months together.
+    """
+    order = ["order_date_key", "product_key", "customer_key"]
+    month = F.expr("order_date_key div 100").cast("int")
+    fact.withColumn("order_month", month).repartitionByRange(*order).sortWithinPartitions("order_month", *order).write.mode(
+        "overwrite").partitionBy("order_month").parquet(path)
+
+
+def scaled_between(spark: SparkSession, path: str, first: int, after: int) -> DataFrame:
+    """The stored fact from day key `first` up to, not including, `after`.
+
+    Other months' folders are not listed for reading. Inside the months, row groups and pages whose
+    days lie outside are skipped, as the range is put on the bare key that the rows are sorted by.
+    A stored fact without rows gives none.
+    """
+    key, month = F.col("order_date_key"), F.col("order_month")
+    return spark.read.schema(SCHEMA).parquet(path).filter(
+        (month >= first // 100) & (month <= (after - 1) // 100) & (key >= first) & (key < after)).drop("order_month")
