@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions import date_key
+from starloom.sources.files import Files
 
 # First day and number of days of the scaled fact.
 FIRST_DAY = "1996-01-01"
 DAYS = 1461
-SCHEMA = ("order_date_key int, order_date date, product_key bigint, customer_key int, net_amount decimal(10,2), "
-          "order_month int")
+SCHEMA = "order_date_key int, order_date date, product_key bigint, customer_key int, net_amount decimal(10,2)"
 
 
 def scaled_fact(lines: DataFrame, copies: int) -> DataFrame:
@@ -48,10 +48,12 @@ def store_scaled(fact: DataFrame, path: str) -> None:
 def scaled_between(spark: SparkSession, path: str, first: int, after: int) -> DataFrame:
     """The stored fact from day key `first` up to, not including, `after`.
 
-    Other months' folders are not listed for reading. Inside the months, row groups and pages whose
-    days lie outside are skipped, as the range is put on the bare key that the rows are sorted by.
-    A stored fact without rows gives none.
+    Only the folders of the months in question are listed and read. Inside them, row groups and pages
+    whose days lie outside are skipped, as the range is put on the bare key that the rows are sorted
+    by. A stored fact without rows gives none.
     """
-    key, month = F.col("order_date_key"), F.col("order_month")
-    return spark.read.schema(SCHEMA).parquet(path).filter(
-        (month >= first // 100) & (month <= (after - 1) // 100) & (key >= first) & (key < after)).drop("order_month")
+    months = {f"order_month={m}" for m in range(first // 100, (after - 1) // 100 + 1)}
+    folders = [f"{path}/{name}" for name in Files(spark, path).names(path) if name in months]
+    rows = spark.read.schema(SCHEMA).parquet(*folders) if folders else spark.createDataFrame([], SCHEMA)
+    key = F.col("order_date_key")
+    return rows.filter((key >= first) & (key < after))
