@@ -327,3 +327,21 @@ def csv_landing_apart(s):
     sent.write.options(header=True, escape='"').csv(path)
     rows, rejected = landing.read_csv_apart(s.spark, path, struct(LANDED), line_breaks=True)
     return rows.unionByName(rejected.select(landing.REJECTED), allowMissingColumns=True)
+
+
+SENT_ORDERS = "order_id bigint, client_id* bigint, freight decimal(19,4), ship_via int, ship_city string"
+
+
+@query("csv_landing_subset", """
+select o_orderkey as order_id, o_custkey as customer_id, if(o_orderkey % 3 = 0, 0, cast(o_totalprice as decimal(19,4))) as freight,
+       cast(3 as int) as ship_via, cast(null as varchar) as ship_city, 'web' as channel from orders""")
+def csv_landing_subset(s):
+    """Orders sent with three of the declared columns, one under an awkward header: landed, renamed, gaps filled."""
+    sent = s.raw("orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("client_id*"),
+        F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice").cast("decimal(19,4)")).alias("freight"))
+    path = work_path(s.spark)
+    sent.write.option("header", True).csv(path)
+    rows = landing.rename_columns(
+        landing.read_csv(s.spark, path, struct(SENT_ORDERS), sent.columns), {"client_id*": "customer_id"})
+    return landing.apply_defaults(rows, {"freight": F.lit(0).cast("decimal(19,4)"), "ship_via": F.lit(3), "channel": F.lit("web")})
