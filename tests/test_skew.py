@@ -5,6 +5,7 @@ from compare import TABLES, connect, mismatch
 from pyspark.sql import functions as F
 
 from starloom.plans import facts
+from starloom.plans.star import DeclaredStar
 from starloom.queries import REGISTRY
 
 FOLDER = "/root/testdata/sf0.001"
@@ -59,3 +60,11 @@ def test_a_hot_customer_is_split(spark, skewed, capsys):
     assert sum(r.n for r in summed.collect()) == 60000
     summed.explain()
     assert "skew=true" in capsys.readouterr().out
+
+
+def test_price_and_discount_are_worked_out_above_the_joins(spark):
+    """They follow from the sums of a line, so no shuffle carries them."""
+    s = DeclaredStar(spark, "/root/testdata/sf0.001")
+    for frame in (s.sales(), s.fact_lines):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("AS discount_pct") < plan.index("Join ") and plan.count("AS discount_pct") == 1
