@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from starloom.plans import facts
 from starloom.plans.star import DeclaredStar
 from starloom.queries import REGISTRY
+from starloom.session import prepare
 
 FOLDER = "/root/testdata/sf0.001"
 SETTINGS = {
@@ -68,3 +69,19 @@ def test_price_and_discount_are_worked_out_above_the_joins(spark):
     for frame in (s.sales(), s.fact_lines):
         plan = frame._jdf.queryExecution().optimizedPlan().toString()
         assert plan.index("AS discount_pct") < plan.index("Join ") and plan.count("AS discount_pct") == 1
+
+
+def test_shuffled_rows_are_dealt_out_in_small_portions(spark):
+    """Unless the session says otherwise."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.set(name, "1k")
+        prepare(spark)
+        assert spark.conf.get(name) == "1k"
+        spark.conf.unset(name)
+        prepare(spark)
+        assert spark.conf.get(name) == "16m"
+    finally:
+        if before is not None:
+            spark.conf.set(name, before)
