@@ -133,7 +133,11 @@ def _place(take: Column) -> Column:
 
 
 def slots(rows: DataFrame) -> DataFrame:
-    """One row per take of the schedule: src, block, `words` (null: the whole block), output shard and slot."""
+    """One row per take of the schedule: src, block, `words` (null: the whole block), output shard and slot.
+
+    `rows` are a schedule, or the targets that one is made from.
+    """
+    rows = rows if "takes" in rows.columns else schedule(rows)
     blocks = F.col("blocks")
     # a large source becomes many rows before its takes are listed, and those rows are dealt out
     chunks = rows.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(takes - 1) div {CHUNK}"))))
