@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators.joins import as_at, full_outer, left_outer, rows_with_dangling
-from starloom.operators.keys import assign_keys, fill_keys, tag_positions, with_unknown
+from starloom.operators.keys import among, assign_keys, fill_keys, key_bits, tag_positions, with_unknown
 from starloom.operators.ranking import top_n_with_ties, top_percent
 from starloom.operators.windows import by_month, next_value, overlap_pairs, version_numbers
 from starloom.session import materialise
@@ -132,3 +132,15 @@ def test_top_shapes(spark):
     assert top_n_with_ties(df, 8, "v").count() == 8
     assert top_percent(spark.range(77), 10, ["id"]).count() == 8
     assert sorted(r.id for r in top_percent(spark.range(20), 10, [F.col("id").desc()]).collect()) == [18, 19]
+
+
+def test_keys_as_bits_find_the_same_rows(spark):
+    """A row of bits stands for 65,536 numbers; NULL, repeated and negative keys are no keys."""
+    rng = random.Random(11)
+    keys = [rng.randrange(200_000) for _ in range(3000)] + [0, 63, 64, 65_535, 65_536, 5, 5, 2**40, -1, None]
+    bits = materialise(key_bits(spark.createDataFrame([(k,) for k in keys], "k bigint"), "k"))
+    assert sorted(r[0] for r in bits.select("_block").collect()) == [0, 1, 2, 3, 2**40 // 65_536]
+    asked = [*range(0, 200_000, 7), 0, 1, 5, 63, 64, 65_535, 65_536, 2**40, 2**40 + 64, 2**50, -1, -64, None]
+    found = among(spark.createDataFrame([(k,) for k in asked], "key bigint"), "key", bits, "has")
+    assert found.columns == ["key", "has"]
+    assert Counter((r.key, r.has) for r in found.collect()) == Counter((k, k is not None and k >= 0 and k in set(keys)) for k in asked)
